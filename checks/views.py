@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagesieve.functions.annotation import raw_fields
+from pagesieve.session import spread
 
 PAGES_PER_ARCHIVE = 25
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:

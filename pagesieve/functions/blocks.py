@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .bind import let
+
 # elements that never hold content of the page itself
 RAW_ELEMENTS = ("script", "style", "noscript", "template")
 SIDE_ELEMENTS = ("head", "nav", "footer", "aside", "form")
@@ -62,12 +64,14 @@ def _numeric_entities(text: Column) -> Column:
             shown, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
         ).otherwise(F.lit(" "))
 
-    refs = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), character)
-    joined = F.array_join(
-        F.zip_with(F.split(text, pattern), refs, lambda t, c: F.concat(t, F.coalesce(c, F.lit("")))),
-        "",
-    )
-    return F.when(F.contains(text, F.lit("&#")), joined).otherwise(text)
+    def joined(t):
+        refs = F.transform(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), character)
+        return F.array_join(
+            F.zip_with(F.split(t, pattern), refs, lambda x, c: F.concat(x, F.coalesce(c, F.lit("")))),
+            "",
+        )
+
+    return let(text, lambda t: F.when(F.contains(t, F.lit("&#")), joined(t)).otherwise(t))
 
 
 def decode_entities(text: Column) -> Column:

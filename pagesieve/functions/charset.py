@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .bind import let
+
 _BAD = "\ufffd"
 
 # guessed charset -> JVM charset, in the order they are tried
@@ -22,28 +24,39 @@ def is_utf8(payload: Column) -> Column:
 
 def _has_escape(payload: Column) -> Column:
     # ISO-2022-JP is 7-bit; it shows by its escape sequences only
-    view = F.decode(payload, "ISO-8859-1")
-    return view.rlike(r"\x1b(?:\$[@B]|\([BJI])")
+    return F.decode(payload, "ISO-8859-1").rlike(r"\x1b(?:\$[@B]|\([BJI])")
 
 
-def _fits(payload: Column, jvm_name: str) -> Column:
-    ok = ~F.contains(F.decode(payload, jvm_name), F.lit(_BAD))
-    return (_has_escape(payload) & ok) if jvm_name == "ISO-2022-JP" else ok
+def _clean(payload: Column, jvm_name: str) -> Column:
+    """Decoded text, NULL when a byte does not decode."""
+    return let(
+        F.decode(payload, jvm_name),
+        lambda text: F.when(~F.contains(text, F.lit(_BAD)), text),
+    )
 
 
 def guess_charset(payload: Column) -> Column:
     """Name of the first charset the bytes decode under, NULL if none does."""
-    guess = F.when(_fits(payload, "ISO-2022-JP"), "iso2022_jp").when(is_utf8(payload), "utf-8")
-    for name, jvm_name in CANDIDATES[1:]:
-        guess = guess.when(_fits(payload, jvm_name), name)
-    return guess
+
+    def guess(b):
+        found = F.when(_has_escape(b) & _clean(b, "ISO-2022-JP").isNotNull(), "iso2022_jp").when(
+            is_utf8(b), "utf-8")
+        for name, jvm_name in CANDIDATES[1:]:
+            found = found.when(_clean(b, jvm_name).isNotNull(), name)
+        return found
+
+    return let(payload, guess)
 
 
 def decode_text(payload: Column) -> Column:
     """Bytes -> text under the guessed charset, else UTF-8 with replacement."""
-    as_utf8 = payload.cast("string")
-    text = F.when(_fits(payload, "ISO-2022-JP"), F.decode(payload, "ISO-2022-JP"))
-    text = text.when(F.is_valid_utf8(as_utf8), as_utf8)
-    for _, jvm_name in CANDIDATES[1:]:
-        text = text.when(_fits(payload, jvm_name), F.decode(payload, jvm_name))
-    return text.otherwise(F.make_valid_utf8(as_utf8))
+
+    def decoded(b):
+        return F.coalesce(
+            F.when(_has_escape(b), _clean(b, "ISO-2022-JP")),
+            F.when(is_utf8(b), b.cast("string")),
+            *[_clean(b, jvm_name) for _, jvm_name in CANDIDATES[1:]],
+            F.make_valid_utf8(b.cast("string")),
+        )
+
+    return let(payload, decoded)

@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import patterns as P
+from .bind import let
 from .bytesview import all_groups, first_group, longest, view_bytes
 from .charset import decode_text
 
@@ -25,11 +26,12 @@ def html_lang(view: Column) -> Column:
 
 def declared_charset(view: Column) -> Column:
     """Charset named by the XML declaration or a meta tag."""
-    whole = F.nullif(F.regexp_extract(view, P.DECLARED_CHARSET, 0), F.lit(""))
-    groups = [
-        F.nullif(F.regexp_extract(whole, P.DECLARED_CHARSET, g), F.lit("")) for g in (1, 2, 3, 4)
-    ]
-    return F.coalesce(*groups)
+    return let(
+        F.regexp_extract(view, P.DECLARED_CHARSET, 0),
+        lambda whole: F.coalesce(*[
+            F.nullif(F.regexp_extract(whole, P.DECLARED_CHARSET, g), F.lit("")) for g in (1, 2, 3, 4)
+        ]),
+    )
 
 
 def meta_description(view: Column) -> Column:
@@ -52,12 +54,16 @@ def meta_heading(view: Column) -> Column:
 
 
 def lang_probe(description: Column, title: Column, heading: Column) -> Column:
-    """Text a language is identified on: description, else title, else heading."""
+    """Text a language is identified on: description, else title, else heading.
+
+    The later ones are not evaluated when an earlier one is long enough.
+    """
+
+    def over(value, limit):
+        return let(value, lambda v: F.when(F.length(v) > limit, v))
+
     chosen = F.coalesce(
-        F.when(F.length(description) > P.DESCRIPTION_OVER, description),
-        F.when(F.length(title) > P.TITLE_OVER, title),
-        F.when(F.length(heading) > P.HEADING_OVER, heading),
-    )
+        over(description, P.DESCRIPTION_OVER), over(title, P.TITLE_OVER), over(heading, P.HEADING_OVER))
     return F.replace(chosen, F.lit("\n"), F.lit(" "))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import htmlmeta as H
+from ..functions.bind import compute
 from ..functions.blocks import content_blocks, html_blocks, join_blocks
 from .skew import drop_frequent
 
@@ -21,12 +22,9 @@ def explode_blocks(df: DataFrame, html: str, id_cols, formatting: bool = False,
 def main_text(df: DataFrame, html: str, out: str = "text", formatting: bool = False,
               tables: bool = True) -> DataFrame:
     """Add ``out``: content blocks of the page, one per line; NULL if none."""
-    return (
-        df.withColumn("_blocks", html_blocks(F.col(html), formatting, tables))
-        .withColumn("_kept", content_blocks(F.col("_blocks")))
-        .withColumn(out, join_blocks(F.col("_kept"), formatting))
-        .drop("_blocks", "_kept")
-    )
+    blocks = compute(df, {"_blocks": html_blocks(F.col(html), formatting, tables)})
+    text = join_blocks(content_blocks(F.col("_blocks")), formatting)
+    return compute(blocks, {out: text}).drop("_blocks")
 
 
 def raw_and_formatted_text(df: DataFrame, html: str) -> DataFrame:
@@ -55,12 +53,11 @@ def page_metadata(df: DataFrame, view: str, url: str) -> DataFrame:
     """Add the descriptive columns of a page from its byte view and its URL."""
     v = F.col(view)
     host = F.try_parse_url(F.col(url), F.lit("HOST"))
-    return df.withColumns({
+    return compute(df, {
         "title": H.meta_title(v),
         "author": H.meta_value(v, H.AUTHOR_NAMES),
         "hostname": host,
-        "date": F.regexp_extract(
-            F.coalesce(H.meta_value(v, H.DATE_NAMES), F.lit("")), r"\d{4}-\d{2}-\d{2}", 0),
+        "date": F.regexp_substr(H.meta_value(v, H.DATE_NAMES), F.lit(r"\d{4}-\d{2}-\d{2}")),
         "image": H.meta_value(v, H.IMAGE_NAMES),
         "pagetype": H.meta_value(v, H.PAGETYPE_NAMES),
         "source": F.col(url),
@@ -69,7 +66,7 @@ def page_metadata(df: DataFrame, view: str, url: str) -> DataFrame:
         "categories": H.meta_joined(v, H.SECTION_NAMES),
         "tags": H.meta_joined(v, H.TAG_NAMES),
         "license": H.meta_value(v, H.LICENSE_NAMES),
-    }).withColumn("date", F.nullif(F.col("date"), F.lit("")))
+    })
 
 
 def _half(token: Column, start: int) -> Column:

@@ -8,7 +8,7 @@ meet an older opening row.
 Declaratively: every closing row gets the position of the latest opening row
 before it, and of all rows with the same position only the first that uses it
 up counts. Both steps work on positions and a few flags; page contents are
-joined to the survivors afterwards, by ``payload_of``.
+joined to the survivors afterwards.
 
 One partition key may hold any share of the rows. The running "latest open"
 is therefore computed per *stretch* of a key (a bounded run of consecutive
@@ -39,16 +39,27 @@ def hold_latest(df: DataFrame, part: str, order: Sequence[str], opens: Column, c
     enough to bound the rows of one (part, stretch); by default it follows the
     last order column, which must then be a running number.
     """
-    if stretch is None:
-        run = F.floor(F.col(order[-1]) / STRETCH_ROWS)
-        stretch = F.struct(*[F.col(c) for c in order[:-1]], run.alias("run"))
     marked = (
-        df.withColumn("pos", _position(order))
-        .withColumn("_stretch", stretch)
-        .withColumn("_opens", F.coalesce(opens, F.lit(False)))
+        df.withColumn("_opens", F.coalesce(opens, F.lit(False)))
         .withColumn("_closes", F.coalesce(closes, F.lit(False)))
         .where(F.col("_opens") | F.col("_closes"))
+        .withColumn("pos", _position(order))
     )
+    if stretch is None:
+        # earlier order columns are constant within a stretch, so its last open
+        # position is found from the last column alone: a plain number
+        run = F.floor(F.col(order[-1]) / STRETCH_ROWS)
+        stretch = F.struct(*[F.col(c) for c in order[:-1]], run.alias("run"))
+        latest = F.max(F.when(F.col("_opens"), F.col(order[-1])))
+        if len(order) > 1:
+            end = F.when(F.col("_latest").isNotNull(), F.struct(
+                *[F.col("_stretch")[c].alias(c) for c in order[:-1]], F.col("_latest").alias(order[-1])))
+        else:
+            end = F.col("_latest")
+    else:
+        latest, end = F.max(F.when(F.col("_opens"), F.col("pos"))), F.col("_latest")
+    marked = marked.withColumn("_stretch", stretch)
+
     within = (
         Window.partitionBy(part, "_stretch").orderBy("pos")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -58,8 +69,9 @@ def hold_latest(df: DataFrame, part: str, order: Sequence[str], opens: Column, c
     ).where(F.col("_closes") & ~F.col("_opens"))
 
     # one row per stretch: the last open position at its end
-    ends = marked.groupBy(part, "_stretch").agg(
-        F.max(F.when(F.col("_opens"), F.col("pos"))).alias("_end")
+    ends = (
+        marked.groupBy(part, "_stretch").agg(latest.alias("_latest"))
+        .select(part, "_stretch", end.alias("_end"))
     )
     earlier = (
         Window.partitionBy(part).orderBy("_stretch")
@@ -87,13 +99,21 @@ def carry_pair(df: DataFrame, part: str, order: Sequence[str], opens: Column, cl
     ``consumes`` the closing row uses up the held row (by default ``accepts``);
     a row that consumes without being accepted yields nothing.
     ``keep`` columns are taken from the closing row.
+
+    Closing rows that do not consume change nothing and are left out at once;
+    opening rows travel without the ``keep`` columns.
     """
     consumes = accepts if consumes is None else consumes
-    staged = (
-        df.withColumn("_accepts", F.coalesce(accepts, F.lit(False)))
-        .withColumn("_consumes", F.coalesce(consumes, F.lit(False)))
+    staged = df.withColumns({
+        "_open": F.coalesce(opens, F.lit(False)),
+        "_accepts": F.coalesce(accepts, F.lit(False)),
+        "_consumes": F.coalesce(closes & consumes, F.lit(False)),
+    })
+    slim = staged.select(
+        part, *order, "_open", "_accepts", "_consumes",
+        *[F.when(F.col("_consumes"), F.col(c)).alias(c) for c in keep],
     )
-    held = hold_latest(staged, part, order, opens, closes, stretch).where("_consumes")
+    held = hold_latest(slim, part, order, F.col("_open"), F.col("_consumes"), stretch)
     first = held.groupBy(part, "held").agg(
         F.min_by(F.struct("pos", "_accepts", *keep), "pos").alias("_first")
     )
@@ -102,18 +122,6 @@ def carry_pair(df: DataFrame, part: str, order: Sequence[str], opens: Column, cl
     )
 
 
-def payload_of(pairs: DataFrame, df: DataFrame, part: str, order: Sequence[str],
-               columns: Sequence[str]) -> DataFrame:
-    """Add ``columns`` of the held rows to the pairs.
-
-    Positions are unique, so no key is hot; Spark broadcasts the slim side
-    where its measured size allows and otherwise filters the wide side by a
-    Bloom filter of the slim one before the shuffle.
-    """
-    wide = df.select(F.col(part), _position(order).alias("held"), *columns)
-    return pairs.join(wide, [part, "held"])
-
-
 def keyed_pair(annotations: DataFrame, pages: DataFrame, link: str = "concurrent_to",
                record_id: str = "record_id") -> DataFrame:
     """Pair by an explicit reference instead of position.

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the byte-level functions rely on.
 SESSION_CONF = {
@@ -51,3 +51,13 @@ def shared_dir(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below :func:`shared_dir`."""
     return f"{shared_dir(spark)}/pagesieve/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input read as fewer partitions than there are cores.
+
+    A small table in one file is one task, whatever follows. A large one has
+    more splits than cores and is left as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
