@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagesieve.functions import annotation as A
@@ -44,7 +44,7 @@ def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
-def _view() -> F.Column:
+def _view() -> Column:
     return byte_view(F.col("payload"))
 
 
@@ -294,10 +294,14 @@ def _archives(spark, sf_dir) -> str:
     return path
 
 
+def archive_name() -> Column:
+    """The writer keeps one folder per archive."""
+    return F.regexp_extract("warc_path", "archive=([^/]+)/", 1)
+
+
 def _scanned(spark, sf_dir) -> DataFrame:
     path = _archives(spark, sf_dir)
-    name = F.regexp_extract("warc_path", "archive=([^/]+)/", 1)
-    return read_warc(spark, path, base=path).withColumn("warc_path", name)
+    return read_warc(spark, path, base=path).withColumn("warc_path", archive_name())
 
 
 @query
@@ -499,10 +503,9 @@ def shard_roundtrip(spark, sf_dir):
 # --- streaming ---------------------------------------------------------------------------------
 def _ingested(spark, sf_dir, runs: int) -> DataFrame:
     archives, out = _archives(spark, sf_dir), work_path(spark, "ingest")
-    name = F.regexp_extract("warc_path", "archive=([^/]+)/", 1)
     for _ in range(runs):
         ingest(spark, f"{archives}/*", out, Settings(target="en", mode="raw"), trained(spark, sf_dir),
-               archives_per_batch=1000, base=archives, archive_name=name)
+               archives_per_batch=1000, base=archives, archive_name=archive_name())
     return _raw_columns(spark.read.parquet(f"{out}/documents"))
 
 

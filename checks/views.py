@@ -7,7 +7,7 @@ table: 25 consecutive pages share one archive, as in a crawl.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagesieve.functions.annotation import raw_fields
@@ -69,7 +69,7 @@ def table_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages(spark, sf_dir).withColumn("html", F.replace("html", F.lit("</article>"), cells))
 
 
-def archive_of(page_id) -> F.Column:
+def archive_of(page_id: Column) -> Column:
     number = F.floor(page_id / PAGES_PER_ARCHIVE).cast("string")
     return F.concat(F.lit("seg-"), F.lpad(number, 9, "0"), F.lit(".warc.gz"))
 
@@ -137,6 +137,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
                                F.create_map(F.lit("content-type"), F.col("content_type"))),
         "content_length": F.octet_length("payload").cast("bigint"),
         "torn": F.lit(False),
+        "coded": F.lit(False),
     })
 
 

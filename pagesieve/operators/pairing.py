@@ -90,6 +90,34 @@ def hold_latest(df: DataFrame, part: str, order: Sequence[str], opens: Column, c
     )
 
 
+def running_total(df: DataFrame, part: str, order: Sequence[str], value: str, out: str) -> DataFrame:
+    """Add ``out``: sum of ``value`` from the first row of ``part`` to this one, in order.
+
+    The last order column is a running number. Sums are formed per stretch and
+    carried over, as in :func:`hold_latest`.
+    """
+    run = F.floor(F.col(order[-1]) / STRETCH_ROWS)
+    staged = df.withColumn("_stretch", F.struct(*[F.col(c) for c in order[:-1]], run.alias("run")))
+    within = (
+        Window.partitionBy(part, "_stretch").orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    earlier = (
+        Window.partitionBy(part).orderBy("_stretch")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    carried = (
+        staged.groupBy(part, "_stretch").agg(F.sum(value).alias("_sum"))
+        .select(part, "_stretch", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    )
+    return (
+        staged.withColumn("_local", F.sum(value).over(within))
+        .join(carried, [part, "_stretch"])
+        .withColumn(out, F.col("_local") + F.col("_before"))
+        .drop("_stretch", "_local", "_before")
+    )
+
+
 def carry_pair(df: DataFrame, part: str, order: Sequence[str], opens: Column, closes: Column,
                accepts: Column, consumes: Column | None = None, keep: Sequence[str] = (),
                stretch: Column | None = None) -> DataFrame:

@@ -48,7 +48,7 @@ class Settings:
 
 def slim_records(records: DataFrame, content_match: str = "exact") -> DataFrame:
     """What pairing needs of every record, without page contents."""
-    return records.where(~F.col("torn")).select(
+    return records.where(~F.col("torn") & ~F.col("coded")).select(
         "warc_path", *ORDER, "record_id", "concurrent_to", "rec_headers",
         F.coalesce(is_html_response(content_match), F.lit(False)).alias("is_page"),
         is_metadata().alias("is_note"),
@@ -86,11 +86,10 @@ def failed_archives(records: DataFrame, settings: Settings) -> DataFrame:
 def quarantined(records: DataFrame) -> DataFrame:
     """Records the job leaves out, with the reason, for inspection."""
     fields = F.when(is_metadata(), raw_fields(F.col("payload")))
-    coding = F.coalesce(F.element_at("http_headers", "transfer-encoding"), F.lit(""))
     return records.withColumn("fields", fields).select(
         "warc_path", *ORDER, "rec_type", "record_id",
         F.when(F.col("torn"), "torn").when(broken_note(), "annotation")
-        .when(F.lower(coding) == "chunked", "transfer-coding").alias("reason"),
+        .when(F.col("coded"), "coded body").alias("reason"),
     ).where(F.col("reason").isNotNull())
 
 
@@ -104,7 +103,8 @@ def usable_records(records: DataFrame, settings: Settings) -> DataFrame:
 
 def html_pages(records: DataFrame, settings: Settings) -> DataFrame:
     """Whole HTML responses: ``warc_path, held`` and what later steps need."""
-    return records.where(is_html_response(settings.content_match) & ~F.col("torn")).select(
+    whole = ~F.col("torn") & ~F.col("coded")
+    return records.where(is_html_response(settings.content_match) & whole).select(
         "warc_path", F.struct(*ORDER).alias("held"), "record_id", "payload", "rec_headers",
         F.col("target_uri").alias("url"),
     )

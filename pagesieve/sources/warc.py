@@ -6,41 +6,50 @@ over many tasks, gzip archives are one task each. Headers are then parsed with
 column expressions.
 
 Row ids are generated by the scan and hold for one scan only. Land the records
-(:func:`land_records`) before using them twice.
+before using them twice; :func:`land_archives` does so, and also puts together
+records that were cut inside their contents.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.annotation import parse_header_lines
 from ..functions.bytesview import byte_view, view_bytes
+from ..operators.pairing import hold_latest, running_total
+from ..operators.skew import lookup_join
 
 # every record ends in two line breaks; the next one starts with its version
 RECORD_BREAK = "\r\n\r\nWARC/1."
 
 RECORD_COLUMNS = (
     "warc_path", "block_start", "rec_seq", "rec_type", "record_id", "target_uri", "concurrent_to",
-    "rec_headers", "http_headers", "content_length", "payload", "torn",
+    "rec_headers", "http_headers", "content_length", "payload", "torn", "coded", "file_path",
 )
 
 
 def archive_pieces(spark: SparkSession, paths, files_per_batch: int | None = None) -> DataFrame:
-    """Raw pieces between record boundaries: ``value``, ``file_path``, ``block_start``.
+    """Text between record boundaries: ``file_path, block_start, rec_seq, value``.
 
     ``paths`` is a path, glob or list of them. With ``files_per_batch`` the
-    result is a stream over one folder or glob.
+    result is a stream over one folder or glob, and ``rec_seq`` is left to the batch.
     """
     if files_per_batch is None:
         reader = spark.read
     else:
         reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
-    return reader.option("lineSep", RECORD_BREAK).text(paths).select(
-        "value",
+    pieces = reader.option("lineSep", RECORD_BREAK).text(paths).select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
+        "value",
     )
+    return numbered(pieces) if files_per_batch is None else pieces
+
+
+def numbered(pieces: DataFrame) -> DataFrame:
+    """Add ``rec_seq``; order within an archive is ``(block_start, rec_seq)``."""
+    return pieces.withColumn("rec_seq", F.monotonically_increasing_id())
 
 
 def relative_path(path: Column, base: str | None) -> Column:
@@ -53,59 +62,211 @@ def relative_path(path: Column, base: str | None) -> Column:
     return F.when(F.startswith(plain, F.lit(root)), F.substr(plain, F.lit(len(root) + 1))).otherwise(path)
 
 
-def parse_records(pieces: DataFrame, base: str | None = None) -> DataFrame:
-    """Pieces -> records. ``torn`` marks a payload shorter than announced."""
-    view = byte_view(F.col("value").cast("binary"))
-    opened = (
-        pieces.select("file_path", "block_start", F.monotonically_increasing_id().alias("rec_seq"),
-                      view.alias("view"))
-        .where(F.instr("view", "\r\n") > 0)
+def _opened(pieces: DataFrame) -> DataFrame:
+    """Record headers of each piece and where they end, on the byte view of the piece."""
+    return (
+        pieces.withColumn("view", byte_view(F.col("value").cast("binary"))).drop("value")
         .withColumn("cut", F.instr("view", "\r\n\r\n"))
-        .withColumn("head", F.expr("IF(cut > 0, substr(view, 1, cut - 1), view)"))
-        .withColumn("rec_headers", parse_header_lines(F.col("head")))
+        .withColumn("rec_headers", parse_header_lines(
+            F.expr("IF(cut > 0, substr(view, 1, cut - 1), view)")))
         .withColumn("content_length",
                     F.element_at("rec_headers", "Content-Length").try_cast("bigint"))
-        .withColumn("block", F.expr("IF(cut > 0, substr(view, cut + 4), '')"))
-        .withColumn("torn", F.coalesce(F.length("block") < F.col("content_length"), F.lit(True)))
-        .withColumn("block", F.expr("substr(block, 1, coalesce(content_length, 0))"))
+        .withColumn("torn", F.coalesce(
+            (F.col("cut") == 0) | (F.length("view") < F.col("cut") + 3 + F.col("content_length")),
+            F.lit(True)))
+    )
+
+
+def parse_records(pieces: DataFrame, base: str | None = None) -> DataFrame:
+    """Pieces -> records.
+
+    ``torn`` marks contents shorter than announced, ``coded`` an HTTP body
+    stored with its transfer or content coding.
+    """
+    opened = (
+        _opened(pieces.where(F.trim(F.translate("value", "\r\n", "")) != ""))
+        .withColumn("block", F.expr("IF(cut > 0, substr(view, cut + 4, coalesce(content_length, 0)), '')"))
         .withColumn("rec_type", F.element_at("rec_headers", "WARC-Type"))
     )
     is_http = (F.col("rec_type") == "request") | (
         (F.col("rec_type") == "response") & F.startswith(F.col("block"), F.lit("HTTP/"))
     )
-    http_cut = F.instr("block", "\r\n\r\n")
     split = (
-        opened.withColumn("http_cut", F.when(is_http, http_cut).otherwise(F.lit(0)))
-        .withColumn("http_head", F.expr("IF(http_cut > 0, substr(block, 1, http_cut - 1), NULL)"))
+        opened.withColumn("http_cut", F.when(is_http, F.instr("block", "\r\n\r\n")).otherwise(F.lit(0)))
+        .withColumn("http_headers", parse_header_lines(
+            F.expr("IF(http_cut > 0, substr(block, 1, http_cut - 1), NULL)"),
+            lower_keys=True, first_wins=True))
         .withColumn("payload", view_bytes(F.expr("IF(http_cut > 0, substr(block, http_cut + 4), block)")))
     )
+    chunked = F.lower(F.element_at("http_headers", "transfer-encoding")).contains("chunked")
+    packed = F.lower(F.element_at("http_headers", "content-encoding")).rlike("gzip|deflate")
     return split.select(
         relative_path(F.col("file_path"), base).alias("warc_path"),
         "block_start", "rec_seq", "rec_type",
         F.element_at("rec_headers", "WARC-Record-ID").alias("record_id"),
         F.element_at("rec_headers", "WARC-Target-URI").alias("target_uri"),
         F.element_at("rec_headers", "WARC-Concurrent-To").alias("concurrent_to"),
-        "rec_headers",
-        parse_header_lines(F.col("http_head"), lower_keys=True, first_wins=True).alias("http_headers"),
-        "content_length", "payload", "torn",
+        "rec_headers", "http_headers", "content_length", "payload", "torn",
+        ((F.col("rec_type") == "response")
+         & (F.coalesce(chunked, F.lit(False)) | F.coalesce(packed, F.lit(False)))).alias("coded"),
+        "file_path",
     )
 
 
 def read_warc(spark: SparkSession, paths, base: str | None = None) -> DataFrame:
     """All records of the archives, in the columns of ``RECORD_COLUMNS``.
 
-    Order within an archive is ``(block_start, rec_seq)``.
+    Order within an archive is ``(block_start, rec_seq)``. One pass, as cut by
+    the reader; see :func:`land_archives` for the complete treatment.
     """
     return parse_records(archive_pieces(spark, paths), base)
 
 
-def land_records(records: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
+def land_records(records: DataFrame, path: str) -> DataFrame:
     """Write records as Parquet and read them back, which fixes their row ids
     and lets later steps read only the columns they use."""
-    records.write.mode(mode).option("compression", "zstd").parquet(path)
+    records.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return records.sparkSession.read.parquet(path)
 
 
+def mend(pieces: DataFrame) -> DataFrame:
+    """Join pieces that belong to one record because its contents hold a record boundary.
+
+    ``pieces`` must be a stored table. A record reaches from its start over as
+    many bytes as its headers announce. Only a piece shorter than its record
+    reaches beyond itself; pieces starting within that reach are parts of the
+    record, whatever they look like.
+    """
+    # byte positions in the archive; headers decide the reach
+    sized = _opened(pieces).select(
+        "file_path", "block_start", "rec_seq",
+        F.length("view").cast("bigint").alias("size"),
+        F.when(F.col("cut") > 0, F.col("cut") + 3 + F.col("content_length")).alias("need"),
+    ).withColumn("step", F.col("size") + len(RECORD_BREAK))
+    placed = (
+        running_total(sized, "file_path", ("block_start", "rec_seq"), "step", "after")
+        .withColumn("start", F.col("after") - F.col("step"))
+        .withColumn("end", F.col("start") + F.col("need"))
+        .select("file_path", "block_start", "rec_seq", "start", "end",
+                F.coalesce(F.col("size") < F.col("need"), F.lit(False)).alias("short"))
+    )
+    # short pieces whose reaches overlap form an island; within one, the first
+    # is a record, and so is each next one starting behind the last record's end
+    order = Window.partitionBy("file_path").orderBy("start")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    islands = (
+        placed.where("short").select("file_path", "start", "end")
+        .withColumn("reach", F.max("end").over(before))
+        .withColumn("opens", F.coalesce(F.col("start") >= F.col("reach"), F.lit(True)).cast("int"))
+        .withColumn("island", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy("file_path", "island")
+        .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    )
+    nothing = F.filter("spans", lambda _: F.lit(False))
+    taken = F.aggregate(
+        "spans", nothing,
+        lambda got, s: F.when(
+            (F.size(got) == 0) | (s["start"] >= F.element_at(F.concat(F.array(s), got), -1)["end"]),
+            F.concat(got, F.array(s)),
+        ).otherwise(got),
+    )
+    records = islands.select("file_path", F.inline(taken))
+    opening = placed.join(
+        records.select("file_path", "start", F.lit(True).alias("broken")), ["file_path", "start"], "left")
+    parts = (
+        hold_latest(opening.select("file_path", "start", "block_start", "rec_seq", "broken"),
+                    "file_path", ("start",), F.col("broken"), F.col("broken").isNull())
+        .join(records.select("file_path", F.col("start").alias("held"), "end"), ["file_path", "held"])
+        .where(F.col("start") < F.col("end"))
+        .select("file_path", "block_start", "rec_seq", F.col("held").alias("owner"), "start")
+    )
+    owners = opening.where("broken").select(
+        "file_path", "block_start", "rec_seq", F.col("start").alias("owner"), "start")
+    member = parts.unionByName(owners)
+    key = ["file_path", "block_start", "rec_seq"]
+    first = F.element_at("run", 1)
+    mended = (
+        pieces.join(member, key)
+        .groupBy("file_path", "owner")
+        .agg(F.array_sort(F.collect_list(F.struct("start", "block_start", "rec_seq", "value"))).alias("run"))
+        .select("file_path", first["block_start"].alias("block_start"), first["rec_seq"].alias("rec_seq"),
+                F.array_join(F.transform("run", lambda p: p["value"]), RECORD_BREAK).alias("value"))
+    )
+    return pieces.join(member.select(*key), key, "left_anti").unionByName(
+        mended.select(*pieces.columns))
+
+
+def decoded_bodies(records: DataFrame) -> DataFrame:
+    """Undo transfer and content codings of stored HTTP bodies.
+
+    Only rows marked ``coded`` go through Python; a body that cannot be undone
+    keeps its bytes and its mark.
+    """
+
+    def undo(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            bodies, marks = [], []
+            for row in batch.select(["payload", "http_headers"]).to_pylist():
+                headers = dict(row["http_headers"])
+                body = _plain_body(row["payload"], headers.get("transfer-encoding", ""),
+                                   headers.get("content-encoding", ""))
+                bodies.append(row["payload"] if body is None else body)
+                marks.append(body is None)
+            for name, values, kind in (("payload", bodies, pa.binary()), ("coded", marks, pa.bool_())):
+                batch = batch.set_column(batch.schema.get_field_index(name), name, pa.array(values, kind))
+            yield batch
+
+    coded = F.coalesce(F.col("coded"), F.lit(False))
+    return records.where(~coded).unionByName(
+        records.where(coded).mapInArrow(undo, records.schema))
+
+
+def _plain_body(body: bytes, transfer: str, content: str) -> bytes | None:
+    import zlib
+
+    try:
+        if "chunked" in transfer.lower():
+            out, at = [], 0
+            while True:
+                line_end = body.index(b"\r\n", at)
+                size = int(body[at:line_end].split(b";")[0], 16)
+                if size == 0:
+                    break
+                out.append(body[line_end + 2:line_end + 2 + size])
+                at = line_end + 2 + size + 2
+            body = b"".join(out)
+        if "gzip" in content.lower() or "deflate" in content.lower():
+            body = zlib.decompress(body, 47 if body[:2] in (b"\x1f\x8b",) or body[:1] == b"\x78" else -15)
+        return body
+    except (ValueError, zlib.error):
+        return None
+
+
+def land_archives(pieces: DataFrame, path: str, base: str | None = None,
+                  name: Column | None = None) -> DataFrame:
+    """Pieces of archives -> stored, complete records, read back from ``path``.
+
+    All archives are scanned once. Those where a record was cut short are read
+    again, their pieces stored and mended; usually there are none.
+    ``name`` derives the archive's name from ``warc_path``.
+    """
+    spark = pieces.sparkSession
+    scanned = land_records(parse_records(pieces, base), f"{path}/scanned")
+    torn = scanned.where("torn").select("file_path").distinct()
+    records = decoded_bodies(scanned)
+    # file names, as the reader takes them; no more than the archives of this run
+    again = [row["file_path"] for row in torn.collect()]
+    if again:
+        stored = f"{path}/pieces"
+        archive_pieces(spark, again).write.mode("overwrite").option("compression", "zstd").parquet(stored)
+        whole = land_records(parse_records(mend(spark.read.parquet(stored)), base), f"{path}/mended")
+        intact = lookup_join(records, torn, ["file_path"], "left_anti", ["block_start", "rec_seq"])
+        records = intact.unionByName(decoded_bodies(whole))
+    return records if name is None else records.withColumn("warc_path", name)
+
+
 def archive_text(records: DataFrame) -> DataFrame:
     """Records -> one text row per archive record, ready for :func:`write_warc`.
 

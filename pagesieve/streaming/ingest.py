@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..plans.refine import Settings, failed_archives, refine
 from ..sources.ledger import append_ledger
 from ..sources.sinks import write_shards
-from ..sources.warc import archive_pieces, land_records, parse_records
+from ..sources.warc import archive_pieces, land_archives, numbered
 
 
 def start_ingest(spark: SparkSession, archives: str, out: str, settings: Settings,
@@ -29,10 +29,7 @@ def start_ingest(spark: SparkSession, archives: str, out: str, settings: Setting
     """
 
     def run_batch(pieces: DataFrame, batch_id: int) -> None:
-        records = parse_records(pieces, base)
-        if archive_name is not None:
-            records = records.withColumn("warc_path", archive_name)
-        landed = land_records(records, f"{out}/records/batch_id={batch_id}")
+        landed = land_archives(numbered(pieces), f"{out}/records/batch_id={batch_id}", base, archive_name)
         documents = refine(landed, settings, profile, stage=f"{out}/stage/batch_id={batch_id}")
         write_shards(documents, f"{out}/documents/batch_id={batch_id}", "parquet")
         archives_read = landed.select("warc_path").distinct()
