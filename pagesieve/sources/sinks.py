@@ -49,13 +49,11 @@ def register_jsonl_zst(spark: SparkSession) -> None:
         def write(self, batches):
             import uuid
 
-            import pyarrow as pa
-
             disk, folder = self._folder()
             disk.create_dir(folder, recursive=True)
             name = f"part-{uuid.uuid4().hex}.jsonl.zst"
             rows = 0
-            with pa.CompressedOutputStream(disk.open_output_stream(f"{folder}/{name}"), "zstd") as out:
+            with disk.open_output_stream(f"{folder}/{name}", compression="zstd") as out:
                 for batch in batches:
                     for line in batch.column(0):
                         out.write(line.as_buffer())
@@ -128,7 +126,7 @@ def read_jsonl_zst(spark: SparkSession, path: str, schema) -> DataFrame:
                     disk, name = fs.FileSystem.from_uri(file)
                 else:
                     disk, name = fs.LocalFileSystem(), file.removeprefix("file:")
-                with pa.CompressedInputStream(disk.open_input_stream(name), "zstd") as src:
+                with disk.open_input_stream(name, compression="zstd") as src:
                     chunk = []
                     for line in io.BufferedReader(src, 1 << 20):
                         chunk.append(line.decode("utf-8").rstrip("\n"))
