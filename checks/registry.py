@@ -457,7 +457,7 @@ def _raw_columns(docs: DataFrame) -> DataFrame:
 @query
 def final_document(spark, sf_dir):
     docs = refine(V.records(spark, sf_dir), Settings(target="en", mode="text", run_date="2024-07-08"),
-                  trained(spark, sf_dir))
+                  trained(spark, sf_dir), stage=work_path(spark, "stage"))
     return docs.select(
         "title", "hostname", "source", "raw_text", "text", "rejected", "rejected_reason",
         F.col("`languages-fasttext`.code").alias("language_code"),
@@ -469,7 +469,8 @@ def final_document(spark, sf_dir):
 
 @query
 def final_document_raw(spark, sf_dir):
-    docs = refine(V.records(spark, sf_dir), Settings(target="en", mode="raw"), trained(spark, sf_dir))
+    docs = refine(V.records(spark, sf_dir), Settings(target="en", mode="raw"), trained(spark, sf_dir),
+                  stage=work_path(spark, "stage"))
     return _raw_columns(docs)
 
 

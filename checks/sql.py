@@ -126,23 +126,25 @@ def marked(html: str, formatting: bool = False, tables: bool = True) -> str:
     def gone(s, pattern, by="''"):
         return f"regexp_replace({s}, '{pattern}', {by}, 'g')"
 
+    raw = "|".join(rf"<{tag}(?:[ /][^>]*)?>.*?(?:</{tag} ?>|\z)" for tag in ("script", "style", "noscript", "template"))
+    side = "|".join(rf"<{tag}(?:[ /][^>]*)?>.*?</{tag} ?>"
+                    for tag in ("head", "nav", "footer", "aside", "form") + (() if tables else ("table",)))
     s = gone(html, r"[\x00-\x20]+", "' '")
-    s = gone(s, r"(?s)<!--.*?(?:-->|\z)")
-    for tag in ("script", "style", "noscript", "template"):
-        s = gone(s, rf"(?is)<{tag}(?:[ /][^>]*)?>.*?(?:</{tag} ?>|\z)", "' '")
-    for tag in ("head", "nav", "footer", "aside", "form") + (() if tables else ("table",)):
-        s = gone(s, rf"(?is)<{tag}(?:[ /][^>]*)?>.*?</{tag} ?>", "chr(1)")
+    s = gone(s, rf"(?is)<!--.*?(?:-->|\z)|{raw}")
+    s = gone(s, rf"(?is){side}", "chr(1)")
     if formatting:
         s = gone(s, r"(?i)<(?:b|strong)(?: [^>]*)?> ?([^< ][^<]*)</(?:b|strong) ?>", r"'**\1**'")
     s = gone(s, r"(?i)<a(?: [^>]*)?>", "chr(3)")
     s = gone(s, r"(?i)</a ?>", "chr(4)")
-    s = gone(s, r"(?i)<(?:td|th)(?:[ /][^>]*)?>", "' | '")
-    s = gone(s, rf"(?i)<({BLOCK_TAGS})(?:[ /][^>]*)?>", r"chr(1) || '\1' || chr(2)")
-    s = gone(s, rf"(?i)</(?:{BLOCK_TAGS}) ?>", "chr(1)")
-    s = gone(s, r"<[a-zA-Z/!?][^>]*(?:>|\z)")
-    for name, char in ENTITIES:
-        s = f"replace({s}, '{name}', '{char}')"
-    return gone(s, " +", "' '")
+    s = gone(s, r"(?i)<t[dh](?:[ /][^>]*)?>", "' | '")
+    s = gone(s, rf"(?i)<(?:/(?:{BLOCK_TAGS}) ?|({BLOCK_TAGS})(?:[ /][^>]*)?)>", r"chr(1) || '\1' || chr(2)")
+    return gone(s, r"<[a-zA-Z/!?][^>]*(?:>|\z)")
+
+
+def one_blank(col: str, entities: bool = False) -> str:
+    for name, char in ENTITIES if entities else ():
+        col = f"replace({col}, '{name}', '{char}')"
+    return f"trim(regexp_replace({col}, ' +', ' ', 'g'))"
 
 
 def words(col: str) -> str:
@@ -160,7 +162,7 @@ def blocks(src: str, name: str, formatting: bool = False, tables: bool = True) -
   SELECT page_id, i, CASE WHEN contains(piece, chr(2)) THEN lower(split_part(piece, chr(2), 1)) ELSE '' END AS tag,
          CASE WHEN contains(piece, chr(2)) THEN split_part(piece, chr(2), 2) ELSE piece END AS body
   FROM {name}_c),
-{name}_x AS (SELECT *, trim(translate(body, chr(3) || chr(4), '')) AS text FROM {name}_t),
+{name}_x AS (SELECT *, {one_blank("translate(body, chr(3) || chr(4), '')", True)} AS text FROM {name}_t),
 {name} AS (
   SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS pos, tag, text,
          {words('text')} AS words,

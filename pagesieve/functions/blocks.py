@@ -75,64 +75,76 @@ def _numeric_entities(text: Column) -> Column:
 
 
 def decode_entities(text: Column) -> Column:
-    out = _numeric_entities(text)
-    for name, char in ENTITIES:
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return out
+    def decoded(t):
+        out = _numeric_entities(t)
+        for name, char in ENTITIES:
+            out = F.replace(out, F.lit(name), F.lit(char))
+        return out
+
+    return let(text, lambda t: F.when(F.contains(t, F.lit("&")), decoded(t)).otherwise(t))
 
 
 def word_count(text: Column) -> Column:
-    """Words; two characters of a script without blanks count as one word."""
-    wide = F.regexp_count(text, F.lit(WIDE_CHAR))
-    return (F.regexp_count(text, F.lit(WORD)) + F.floor((wide + 1) / 2)).cast("int")
+    """Words of a text with single blanks; two characters of a script without
+    blanks count as one word."""
+
+    def count(t):
+        wide = F.regexp_count(t, F.lit(WIDE_CHAR))
+        mixed = F.regexp_count(t, F.lit(WORD)) + F.floor((wide + 1) / 2)
+        blanks = F.length(t) - F.length(F.replace(t, F.lit(" "), F.lit("")))
+        return F.when(t == "", 0).when(t.rlike(WIDE_CHAR), mixed).otherwise(blanks + 1).cast("int")
+
+    return let(text, count)
+
+
+def _one_blank(text: Column) -> Column:
+    return F.trim(F.regexp_replace(text, " +", " "))
 
 
 def marked_text(html: Column, formatting: bool = False, tables: bool = True) -> Column:
-    """HTML -> text with block and link marks, everything else removed."""
+    """HTML -> text with block and link marks, all other tags removed."""
+    raw = "|".join(rf"<{tag}(?:[ /][^>]*)?>.*?(?:</{tag} ?>|\z)" for tag in RAW_ELEMENTS)
+    side = "|".join(
+        rf"<{tag}(?:[ /][^>]*)?>.*?</{tag} ?>" for tag in SIDE_ELEMENTS + (() if tables else ("table",)))
     s = _gone(html, r"[\x00-\x20]+", " ")
-    s = _gone(s, r"(?s)<!--.*?(?:-->|\z)")
-    for tag in RAW_ELEMENTS:
-        s = _gone(s, rf"(?is)<{tag}(?:[ /][^>]*)?>.*?(?:</{tag} ?>|\z)", " ")
-    for tag in SIDE_ELEMENTS + (() if tables else ("table",)):
-        s = _gone(s, rf"(?is)<{tag}(?:[ /][^>]*)?>.*?</{tag} ?>", "\x01")
+    s = _gone(s, rf"(?is)<!--.*?(?:-->|\z)|{raw}")
+    s = _gone(s, rf"(?is){side}", "\x01")
     if formatting:
         s = _gone(s, r"(?i)<(?:b|strong)(?: [^>]*)?> ?([^< ][^<]*)</(?:b|strong) ?>", "**$1**")
     s = _gone(s, r"(?i)<a(?: [^>]*)?>", "\x03")
     s = _gone(s, r"(?i)</a ?>", "\x04")
-    s = _gone(s, r"(?i)<(?:td|th)(?:[ /][^>]*)?>", " | ")
-    s = _gone(s, rf"(?i)<({BLOCK_TAGS})(?:[ /][^>]*)?>", "\x01$1\x02")
-    s = _gone(s, rf"(?i)</(?:{BLOCK_TAGS}) ?>", "\x01")
-    s = _gone(s, r"<[a-zA-Z/!?][^>]*(?:>|\z)")
-    return _gone(decode_entities(s), " +", " ")
+    s = _gone(s, r"(?i)<t[dh](?:[ /][^>]*)?>", " | ")
+    s = _gone(s, rf"(?i)<(?:/(?:{BLOCK_TAGS}) ?|({BLOCK_TAGS})(?:[ /][^>]*)?)>", "\x01$1\x02")
+    return _gone(s, r"<[a-zA-Z/!?][^>]*(?:>|\z)")
 
 
 def html_blocks(html: Column, formatting: bool = False, tables: bool = True) -> Column:
     """HTML -> ARRAY<STRUCT<tag, text, words, link_words>>, empty blocks left out."""
-    cut = F.split(marked_text(html, formatting, tables), "\x01")
-    named = F.transform(
-        cut,
-        lambda p: F.struct(
-            F.when(F.contains(p, F.lit("\x02")), F.lower(F.substring_index(p, "\x02", 1)))
+
+    def opened(piece):
+        body = F.substring_index(piece, "\x02", -1)
+        return F.struct(
+            F.when(F.contains(piece, F.lit("\x02")), F.lower(F.substring_index(piece, "\x02", 1)))
             .otherwise(F.lit("")).alias("tag"),
-            F.substring_index(p, "\x02", -1).alias("body"),
-        ),
-    )
-    full = F.filter(named, lambda b: F.trim(F.translate(b["body"], "\x03\x04", "")) != "")
+            body.alias("body"),
+            _one_blank(decode_entities(F.translate(body, "\x03\x04", ""))).alias("text"),
+        )
 
-    def finish(b):
+    def finished(b):
         linked = F.array_join(
-            F.regexp_extract_all(b["body"], F.lit(r"\x03([^\x03\x04]*)"), F.lit(1)), " "
-        )
-        text = F.trim(F.translate(b["body"], "\x03\x04", ""))
+            F.regexp_extract_all(b["body"], F.lit(r"\x03([^\x03\x04]*)"), F.lit(1)), " ")
         return F.struct(
             b["tag"].alias("tag"),
-            text.alias("text"),
-            word_count(text).alias("words"),
-            F.when(F.contains(b["body"], F.lit("\x03")), word_count(linked))
+            b["text"].alias("text"),
+            word_count(b["text"]).alias("words"),
+            F.when(F.contains(b["body"], F.lit("\x03")), word_count(_one_blank(linked)))
             .otherwise(F.lit(0)).alias("link_words"),
         )
 
-    return F.transform(full, finish)
+    pieces = F.filter(F.split(marked_text(html, formatting, tables), "\x01"),
+                      lambda p: ~F.endswith(p, F.lit("\x02")) & (p != ""))
+    full = F.filter(F.transform(pieces, opened), lambda b: b["text"] != "")
+    return F.transform(full, finished)
 
 
 def content_blocks(blocks: Column) -> Column:

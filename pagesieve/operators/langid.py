@@ -54,7 +54,11 @@ def train_profile(docs: DataFrame, text_col: str, lang_col: str,
         .select(clean_label(F.col(lang_col)).alias("lang"), F.explode(trigrams(F.col(text_col))).alias("gram"))
         .groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("c"))
     )
-    vocabulary = counts.select("gram").distinct().agg(F.count(F.lit(1))).scalar()
+    # from the counts, so that the texts are gone through once
+    vocabulary = (
+        counts.groupBy("gram").agg(F.sum("c").alias("all")).where(F.col("all") > 0)
+        .agg(F.count(F.lit(1))).scalar()
+    )
     totals = counts.groupBy("lang").agg(F.sum("c").alias("total"))  # one row per language
     ranked = counts.withColumn(
         "r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("c"), "gram"))

@@ -23,6 +23,7 @@ from ..operators.filters import (
 )
 from ..operators.langid import filter_predicted_language, predict_language
 from ..operators.pairing import carry_pair, keyed_pair
+from ..session import spread
 
 ORDER = ("block_start", "rec_seq")
 KEY = ("warc_path", "held")
@@ -164,7 +165,8 @@ def classified(pages: DataFrame, profile: DataFrame, target: str) -> DataFrame:
     return pages.join(filter_predicted_language(found, target), list(KEY))
 
 
-def with_text(pages: DataFrame, settings: Settings, profile: DataFrame | None = None) -> DataFrame:
+def with_text(pages: DataFrame, settings: Settings, profile: DataFrame | None = None,
+              stage: str | None = None) -> DataFrame:
     """Add the text-mode columns; pages without text are dropped."""
     guarded = pages if settings.max_bytes is None else size_guard(pages, settings.max_bytes)
     parsed = page_metadata(
@@ -172,6 +174,7 @@ def with_text(pages: DataFrame, settings: Settings, profile: DataFrame | None =
     ).drop("view").withColumn("html", decode_text(F.col("payload"))).drop("payload")
     texts = filter_extracted(main_text(main_text(parsed, "html", "raw_text"), "html", "text",
                                        formatting=True)).drop("html")
+    texts = _staged(texts, stage, "texts")
     if settings.max_repeats is not None:
         lines = texts.select(*KEY, F.posexplode(F.split("text", "\n")).alias("pos", "text"))
         kept = text_of_blocks(drop_repeated_blocks(lines, settings.max_repeats), KEY)
@@ -183,11 +186,12 @@ def with_text(pages: DataFrame, settings: Settings, profile: DataFrame | None =
     return flag_too_short(texts, "text", settings.min_chars).join(marks, list(KEY), "left")
 
 
-def _staged(pages: DataFrame, stage: str | None) -> DataFrame:
+def _staged(pages: DataFrame, stage: str | None, name: str) -> DataFrame:
     if stage is None:
         return pages
-    pages.write.mode("overwrite").option("compression", "zstd").parquet(stage)
-    return pages.sparkSession.read.parquet(stage)
+    path = f"{stage}/{name}"
+    pages.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return spread(pages.sparkSession.read.parquet(path))
 
 
 def refine(records: DataFrame, settings: Settings, profile: DataFrame | None = None,
@@ -195,25 +199,25 @@ def refine(records: DataFrame, settings: Settings, profile: DataFrame | None = N
     """Records -> final documents.
 
     ``records`` should be a landed table (see ``land_records``). With ``stage``
-    the selected pages are written there first: the later steps then read the
-    few pages in the target language, column by column, and a lost executor
-    costs no second pass over the archives.
+    the selected pages, and in text mode their texts, are written there: the
+    later steps then read the few pages in the target language, column by
+    column, and a lost executor costs no second pass over the archives.
     """
     usable = usable_records(records, settings)
     if settings.pairing == "content_first":
         pages = classified(html_pages(usable, settings).drop("record_id"), profile, settings.target)
-        pages = _staged(with_text(pages, settings, profile), stage)
+        pages = with_text(pages, settings, profile, stage)
         return _documents(pair_content_first(pages, usable, settings), settings)
     if settings.pairing not in ("positional", "keyed"):
         raise ValueError("pairing must be 'positional', 'keyed' or 'content_first'")
-    pages = _staged(candidates(usable, settings), stage)
+    pages = _staged(candidates(usable, settings), stage, "pages")
     if settings.classify:
         pages = classified(pages, profile, settings.target)
     else:
         pages = pages.withColumn(
             "prediction", F.lit(None).cast("struct<code: string, prob: double>"))
     if settings.mode == "text":
-        pages = with_text(pages, settings, profile)
+        pages = with_text(pages, settings, profile, stage)
     return _documents(pages, settings)
 
 

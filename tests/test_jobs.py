@@ -115,14 +115,16 @@ def test_text_documents(spark, records, profile):
     assert meta["fetchTimeMs"] == "3"
 
 
-def test_text_options(spark, records, profile):
-    base = dict(target="fr", mode="text")
-    assert refine(records, Settings(**base, max_bytes=400), profile).count() == 1  # the short page
-    assert refine(records, Settings(**base, body_gate=True), profile).count() == 5
-    any_json = refine(records, Settings(**base, json="any"), profile).select(F.to_json("metadata").alias("m"))
+def test_text_options(spark, records, profile, tmp_path):
+    def run(**options):
+        run.n = getattr(run, "n", 0) + 1
+        return refine(records, Settings(target="fr", mode="text", **options), profile, stage=str(tmp_path / f"s{run.n}"))
+
+    assert run(max_bytes=400).count() == 1  # the short page
+    assert run(body_gate=True).count() == 5
+    any_json = run(json="any").select(F.to_json("metadata").alias("m"))
     assert all(json.loads(r["m"])["fetchTimeMs"] == 3 for r in any_json.collect())
-    lines = refine(records, Settings(**base, max_repeats=1), profile)
-    assert lines.count() == 5, "every page has a line of its own"
+    assert run(max_repeats=1).count() == 5, "every page has a line of its own"
 
 
 def test_keyed_pairing(spark, records, profile):

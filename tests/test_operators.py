@@ -38,7 +38,7 @@ def random_rows(rng, parts, length):
 def test_pairing_equals_row_by_row_model(spark, monkeypatch, two_step, stretch_rows):
     monkeypatch.setattr(pairing, "STRETCH_ROWS", stretch_rows)
     rng = random.Random(stretch_rows + two_step)
-    rows = random_rows(rng, 25, 30)
+    rows = random_rows(rng, 60, 30)
     df = spark.createDataFrame(rows, "part int, seq bigint, kind string, acc boolean, con boolean")
     got = pairing.carry_pair(
         df.repartition(7), "part", ["seq"], F.col("kind") == "open", F.col("kind") == "close",
