@@ -123,7 +123,7 @@ def guess_charset_(spark, sf_dir):
 
 @query
 def decode_text_(spark, sf_dir):
-    return V.pages(spark, sf_dir).select("page_id", decode_text(F.col("payload")).alias("text"))
+    return _two_encodings(spark, sf_dir).select("page_id", "form", decode_text(F.col("bytes")).alias("text"))
 
 
 
@@ -474,6 +474,16 @@ def final_document_raw(spark, sf_dir):
     return _raw_columns(docs)
 
 
+@query
+def final_document_content_first(spark, sf_dir):
+    docs = refine(V.records(spark, sf_dir), Settings(target="en", pairing="content_first"),
+                  trained(spark, sf_dir), stage=work_path(spark, "stage"))
+    return docs.select(
+        "warc_path", F.col("rec_headers")["WARC-Record-ID"].alias("page_record"),
+        F.col("rec_headers")["WARC-Type"].alias("header_type"), "text",
+        F.try_variant_get(F.element_at("metadata", "fetchTimeMs"), "$", "string").alias("fetch_time"))
+
+
 # --- sinks -------------------------------------------------------------------------------------
 @query
 def jsonl_roundtrip(spark, sf_dir):

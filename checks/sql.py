@@ -126,25 +126,26 @@ def marked(html: str, formatting: bool = False, tables: bool = True) -> str:
     def gone(s, pattern, by="''"):
         return f"regexp_replace({s}, '{pattern}', {by}, 'g')"
 
-    raw = "|".join(rf"<{tag}(?:[ /][^>]*)?>.*?(?:</{tag} ?>|\z)" for tag in ("script", "style", "noscript", "template"))
-    side = "|".join(rf"<{tag}(?:[ /][^>]*)?>.*?</{tag} ?>"
+    raw = "|".join(rf"<{tag}(?:[\s/][^>]*)?>.*?(?:</{tag}\s*>|\z)"
+                   for tag in ("script", "style", "noscript", "template"))
+    side = "|".join(rf"<{tag}(?:[\s/][^>]*)?>.*?</{tag}\s*>"
                     for tag in ("head", "nav", "footer", "aside", "form") + (() if tables else ("table",)))
-    s = gone(html, r"[\x00-\x20]+", "' '")
+    s = gone(html, r"[\x01-\x04]", "' '")
     s = gone(s, rf"(?is)<!--.*?(?:-->|\z)|{raw}")
     s = gone(s, rf"(?is){side}", "chr(1)")
     if formatting:
-        s = gone(s, r"(?i)<(?:b|strong)(?: [^>]*)?> ?([^< ][^<]*)</(?:b|strong) ?>", r"'**\1**'")
-    s = gone(s, r"(?i)<a(?: [^>]*)?>", "chr(3)")
-    s = gone(s, r"(?i)</a ?>", "chr(4)")
-    s = gone(s, r"(?i)<t[dh](?:[ /][^>]*)?>", "' | '")
-    s = gone(s, rf"(?i)<(?:/(?:{BLOCK_TAGS}) ?|({BLOCK_TAGS})(?:[ /][^>]*)?)>", r"chr(1) || '\1' || chr(2)")
+        s = gone(s, r"(?i)<(?:b|strong)(?:\s[^>]*)?>\s?([^<\s][^<]*)</(?:b|strong)\s*>", r"'**\1**'")
+    s = gone(s, r"(?i)<a(?:\s[^>]*)?>", "chr(3)")
+    s = gone(s, r"(?i)</a\s*>", "chr(4)")
+    s = gone(s, r"(?i)<t[dh](?:[\s/][^>]*)?>", "' | '")
+    s = gone(s, rf"(?i)<(?:/(?:{BLOCK_TAGS})\s*|({BLOCK_TAGS})(?:[\s/][^>]*)?)>", r"chr(1) || '\1' || chr(2)")
     return gone(s, r"<[a-zA-Z/!?][^>]*(?:>|\z)")
 
 
 def one_blank(col: str, entities: bool = False) -> str:
     for name, char in ENTITIES if entities else ():
         col = f"replace({col}, '{name}', '{char}')"
-    return f"trim(regexp_replace({col}, ' +', ' ', 'g'))"
+    return f"trim(regexp_replace({col}, '[\\x00-\\x20]+', ' ', 'g'))"
 
 
 def words(col: str) -> str:
@@ -319,7 +320,11 @@ SELECT page_id, {META_TITLE} AS title, {longest(every('html', meta_pattern('auth
        CAST(NULL AS VARCHAR) AS license FROM mp""",
         "is_utf8": r"""SELECT page_id, form, form = 'utf8' OR NOT regexp_matches(html, '[\x{80}-\x{ff}]') AS is_utf8
 FROM pages, (SELECT unnest(['utf8', 'latin1']) AS form)""",
-        "decode_text": "SELECT page_id, html AS text FROM pages",
+        "guess_charset": r"""SELECT page_id, form, CASE WHEN form = 'utf8' OR NOT regexp_matches(html, '[\x{80}-\x{ff}]')
+       THEN 'utf-8' ELSE 'cp1252' END AS charset FROM pages, (SELECT unnest(['utf8', 'latin1']) AS form)""",
+        "decode_text": r"""SELECT page_id, form, CASE form WHEN 'utf8' THEN html
+       ELSE regexp_replace(html, '[^\x{00}-\x{ff}]', '?', 'g') END AS text
+FROM pages, (SELECT unnest(['utf8', 'latin1']) AS form)""",
         "html_blocks": with_(blocks("pages", "b")) + "SELECT page_id, pos, tag, text, words, link_words FROM b",
         "main_text": with_(text_of("pages", "t"))
         + "SELECT p.page_id, t.text FROM pages p LEFT JOIN t ON t.page_id = p.page_id",
@@ -401,6 +406,22 @@ WHERE warc_path NOT IN (SELECT warc_path FROM led WHERE status = 'ok')""",
   SELECT DISTINCT warc_path FROM rec WHERE substr(md5(warc_path), 1, 1) >= '6' AND substr(md5(warc_path), 1, 1) < 'a')
 SELECT warc_path, rec_seq FROM rec WHERE warc_path NOT IN (SELECT warc_path FROM led)""",
         "final_document": final_text,
+        "final_document_content_first": with_(
+            RECORDS, "cand AS (SELECT page_id, body AS html FROM rec WHERE rec_type = 'response' AND content_type = 'text/html')",
+            probes("cand"), PROFILE, grams("probe", "page_id", "probe", "pg"), scores("pg", "sc"),
+            text_of("cand", "mt", formatting=True)) + r""", ok AS (
+  SELECT page_id, text FROM mt JOIN sc ON sc.id = page_id AND rank = 1 AND code = 'en'),
+run AS (
+  SELECT rec.*, max(CASE WHEN rec_type = 'response' AND ok.page_id IS NOT NULL THEN rec_seq END)
+         OVER (PARTITION BY warc_path ORDER BY rec_seq ROWS UNBOUNDED PRECEDING) AS held
+  FROM rec LEFT JOIN ok ON ok.page_id = rec.page_id AND rec_type = 'response'),
+closing AS (
+  SELECT *, row_number() OVER (PARTITION BY warc_path, held ORDER BY rec_seq) AS rn FROM run
+  WHERE rec_type = 'metadata' AND held IS NOT NULL AND (dominant IS NULL OR dominant = 'en'))
+SELECT c.warc_path, p.record_id AS page_record, p.rec_type AS header_type, ok.text AS text,
+       CAST(length(c.target_uri) AS VARCHAR) AS fetch_time
+FROM closing c JOIN rec p ON p.warc_path = c.warc_path AND p.rec_seq = c.held JOIN ok ON ok.page_id = p.page_id
+WHERE rn = 1 AND c.dominant = 'en'""",
         "final_document_raw": _final("raw"),
         "jsonl_roundtrip": """SELECT page_id, url, html, CAST(NULL AS VARCHAR) AS license FROM pages""",
         "shard_roundtrip": """SELECT fmt, page_id, url, md5(html) AS html_md5

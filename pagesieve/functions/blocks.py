@@ -7,8 +7,7 @@ element of the same array.
 
 Control characters serve as marks while the text is cut: U+0001 starts a
 block, U+0002 ends the tag name after it, U+0003 / U+0004 surround link text.
-White space and control characters of the page become plain blanks first, so
-the marks cannot come from the page.
+Such characters in the page itself become blanks first.
 """
 
 from __future__ import annotations
@@ -98,23 +97,23 @@ def word_count(text: Column) -> Column:
 
 
 def _one_blank(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, " +", " "))
+    return F.trim(F.regexp_replace(text, r"[\x00-\x20]+", " "))
 
 
 def marked_text(html: Column, formatting: bool = False, tables: bool = True) -> Column:
     """HTML -> text with block and link marks, all other tags removed."""
-    raw = "|".join(rf"<{tag}(?:[ /][^>]*)?>.*?(?:</{tag} ?>|\z)" for tag in RAW_ELEMENTS)
+    raw = "|".join(rf"<{tag}(?:[\s/][^>]*)?>.*?(?:</{tag}\s*>|\z)" for tag in RAW_ELEMENTS)
     side = "|".join(
-        rf"<{tag}(?:[ /][^>]*)?>.*?</{tag} ?>" for tag in SIDE_ELEMENTS + (() if tables else ("table",)))
-    s = _gone(html, r"[\x00-\x20]+", " ")
+        rf"<{tag}(?:[\s/][^>]*)?>.*?</{tag}\s*>" for tag in SIDE_ELEMENTS + (() if tables else ("table",)))
+    s = let(html, lambda h: F.when(h.rlike(r"[\x01-\x04]"), _gone(h, r"[\x01-\x04]", " ")).otherwise(h))
     s = _gone(s, rf"(?is)<!--.*?(?:-->|\z)|{raw}")
     s = _gone(s, rf"(?is){side}", "\x01")
     if formatting:
-        s = _gone(s, r"(?i)<(?:b|strong)(?: [^>]*)?> ?([^< ][^<]*)</(?:b|strong) ?>", "**$1**")
-    s = _gone(s, r"(?i)<a(?: [^>]*)?>", "\x03")
-    s = _gone(s, r"(?i)</a ?>", "\x04")
-    s = _gone(s, r"(?i)<t[dh](?:[ /][^>]*)?>", " | ")
-    s = _gone(s, rf"(?i)<(?:/(?:{BLOCK_TAGS}) ?|({BLOCK_TAGS})(?:[ /][^>]*)?)>", "\x01$1\x02")
+        s = _gone(s, r"(?i)<(?:b|strong)(?:\s[^>]*)?>\s?([^<\s][^<]*)</(?:b|strong)\s*>", "**$1**")
+    s = _gone(s, r"(?i)<a(?:\s[^>]*)?>", "\x03")
+    s = _gone(s, r"(?i)</a\s*>", "\x04")
+    s = _gone(s, r"(?i)<t[dh](?:[\s/][^>]*)?>", " | ")
+    s = _gone(s, rf"(?i)<(?:/(?:{BLOCK_TAGS})\s*|({BLOCK_TAGS})(?:[\s/][^>]*)?)>", "\x01$1\x02")
     return _gone(s, r"<[a-zA-Z/!?][^>]*(?:>|\z)")
 
 

@@ -17,6 +17,13 @@ CANDIDATES = (
     ("cp1252", "windows-1252"),
 )
 
+KANA = r"[\x{3040}-\x{30ff}]"
+WESTERN_TRACES = (
+    r"[A-Za-z][^\x00-\x7f]{1,2}[A-Za-z]"
+    r"""|(?:^|[\s>"'(/])[^\x00-\x7f][a-z]"""
+    r"|[\x{e000}-\x{f8ff}]"
+)
+
 
 def is_utf8(payload: Column) -> Column:
     return F.is_valid_utf8(payload.cast("string"))
@@ -28,11 +35,20 @@ def _has_escape(payload: Column) -> Column:
 
 
 def _clean(payload: Column, jvm_name: str) -> Column:
-    """Decoded text, NULL when a byte does not decode."""
-    return let(
-        F.decode(payload, jvm_name),
-        lambda text: F.when(~F.contains(text, F.lit(_BAD)), text),
-    )
+    """Decoded text, NULL when a byte does not decode.
+
+    A Western text can pass as a Japanese one: an accented letter and the byte
+    after it then make one sign. Such a text has no kana, but signs amid or at
+    the start of Latin words, or signs no font defines.
+    """
+
+    def judged(text):
+        fits = ~F.contains(text, F.lit(_BAD))
+        if jvm_name in ("EUC-JP", "windows-31j"):
+            fits = fits & (text.rlike(KANA) | ~text.rlike(WESTERN_TRACES))
+        return F.when(fits, text)
+
+    return let(F.decode(payload, jvm_name), judged)
 
 
 def guess_charset(payload: Column) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from .skew import lookup_join
+from .skew import SALTS, lookup_join
 
 SCALE = 1_000_000
 MAX_GRAMS = 2_000
@@ -60,16 +60,18 @@ def train_profile(docs: DataFrame, text_col: str, lang_col: str,
         .agg(F.count(F.lit(1))).scalar()
     )
     totals = counts.groupBy("lang").agg(F.sum("c").alias("total"))  # one row per language
-    ranked = counts.withColumn(
-        "r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("c"), "gram"))
-    ).where(F.col("r") <= max_grams)
+    # a language's best are among the best of its parts, so no task ranks a whole language
+    best = counts.withColumn("part", F.pmod(F.xxhash64("gram"), F.lit(SALTS)).cast("int"))
+    for within in (["lang", "part"], ["lang"]):
+        order = Window.partitionBy(*within).orderBy(F.desc("c"), "gram")
+        best = best.withColumn("r", F.row_number().over(order)).where(F.col("r") <= max_grams)
 
     def milli(p):
         return F.round(F.log(p) * SCALE).cast("bigint")
 
     space = F.col("total") + vocabulary
     return (
-        ranked.join(totals, "lang")
+        best.join(totals, "lang")
         .select(
             "lang", "gram",
             milli((F.col("c") + 1) / space).alias("weight"),
