@@ -21,7 +21,8 @@ from ..operators.pairing import hold_latest, running_total
 from ..operators.skew import lookup_join
 
 # every record ends in two line breaks; the next one starts with its version
-RECORD_BREAK = "\r\n\r\nWARC/1."
+EMPTY_LINE = "\r\n\r\n"
+RECORD_BREAK = EMPTY_LINE + "WARC/1."
 
 RECORD_COLUMNS = (
     "warc_path", "block_start", "rec_seq", "rec_type", "record_id", "target_uri", "concurrent_to",
@@ -62,18 +63,27 @@ def relative_path(path: Column, base: str | None) -> Column:
     return F.when(F.startswith(plain, F.lit(root)), F.substr(plain, F.lit(len(root) + 1))).otherwise(path)
 
 
+def _header_text(block: Column) -> Column:
+    """Header lines as text: UTF-8, or one character per byte where they are not."""
+    return F.when(F.is_valid_utf8(block), block).otherwise(byte_view(block.cast("binary")))
+
+
 def _opened(pieces: DataFrame) -> DataFrame:
-    """Record headers of each piece and where they end, on the byte view of the piece."""
+    """Record headers of each piece: ``head`` up to the first empty line, and ``need``,
+    the bytes the whole record takes by its own account.
+
+    ``substring_index`` looks for the empty line byte by byte and stops there;
+    contents are cut out as bytes and never decoded.
+    """
     return (
-        pieces.withColumn("view", byte_view(F.col("value").cast("binary"))).drop("value")
-        .withColumn("cut", F.instr("view", "\r\n\r\n"))
-        .withColumn("rec_headers", parse_header_lines(
-            F.expr("IF(cut > 0, substr(view, 1, cut - 1), view)")))
+        pieces.withColumn("head", F.substring_index("value", EMPTY_LINE, 1))
+        .withColumn("rec_headers", parse_header_lines(_header_text(F.col("head"))))
         .withColumn("content_length",
                     F.element_at("rec_headers", "Content-Length").try_cast("bigint"))
-        .withColumn("torn", F.coalesce(
-            (F.col("cut") == 0) | (F.length("view") < F.col("cut") + 3 + F.col("content_length")),
-            F.lit(True)))
+        .withColumn("size", F.octet_length("value").cast("bigint"))
+        .withColumn("need", F.when(
+            F.octet_length("head") < F.col("size"),
+            F.octet_length("head") + len(EMPTY_LINE) + F.col("content_length")))
     )
 
 
@@ -83,20 +93,25 @@ def parse_records(pieces: DataFrame, base: str | None = None) -> DataFrame:
     ``torn`` marks contents shorter than announced, ``coded`` an HTTP body
     stored with its transfer or content coding.
     """
+    filled = F.btrim(F.substring("value", 1, 8), F.lit("\r\n")) != ""
     opened = (
-        _opened(pieces.where(F.trim(F.translate("value", "\r\n", "")) != ""))
-        .withColumn("block", F.expr("IF(cut > 0, substr(view, cut + 4, coalesce(content_length, 0)), '')"))
+        _opened(pieces.where(filled))
+        .withColumn("torn", F.coalesce(F.col("size") < F.col("need"), F.lit(True)))
+        .withColumn("block", F.expr(
+            "substr(cast(value AS BINARY), octet_length(head) + 5, coalesce(content_length, 0))"))
         .withColumn("rec_type", F.element_at("rec_headers", "WARC-Type"))
+        .drop("value", "head")
     )
+    text = F.col("block").cast("string")
     is_http = (F.col("rec_type") == "request") | (
-        (F.col("rec_type") == "response") & F.startswith(F.col("block"), F.lit("HTTP/"))
+        (F.col("rec_type") == "response") & F.startswith(text, F.lit("HTTP/"))
     )
     split = (
-        opened.withColumn("http_cut", F.when(is_http, F.instr("block", "\r\n\r\n")).otherwise(F.lit(0)))
+        opened.withColumn("http_head", F.when(is_http, F.substring_index(text, EMPTY_LINE, 1)))
         .withColumn("http_headers", parse_header_lines(
-            F.expr("IF(http_cut > 0, substr(block, 1, http_cut - 1), NULL)"),
-            lower_keys=True, first_wins=True))
-        .withColumn("payload", view_bytes(F.expr("IF(http_cut > 0, substr(block, http_cut + 4), block)")))
+            _header_text(F.col("http_head")), lower_keys=True, first_wins=True))
+        .withColumn("payload", F.expr(
+            "IF(http_head IS NULL, block, substr(block, octet_length(http_head) + 5))"))
     )
     chunked = F.lower(F.element_at("http_headers", "transfer-encoding")).contains("chunked")
     packed = F.lower(F.element_at("http_headers", "content-encoding")).rlike("gzip|deflate")
@@ -139,10 +154,9 @@ def mend(pieces: DataFrame) -> DataFrame:
     """
     # byte positions in the archive; headers decide the reach
     sized = _opened(pieces).select(
-        "file_path", "block_start", "rec_seq",
-        F.length("view").cast("bigint").alias("size"),
-        F.when(F.col("cut") > 0, F.col("cut") + 3 + F.col("content_length")).alias("need"),
-    ).withColumn("step", F.col("size") + len(RECORD_BREAK))
+        "file_path", "block_start", "rec_seq", "size", "need",
+        (F.col("size") + len(RECORD_BREAK)).alias("step"),
+    )
     placed = (
         running_total(sized, "file_path", ("block_start", "rec_seq"), "step", "after")
         .withColumn("start", F.col("after") - F.col("step"))
