@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import htmlmeta as H
 from ..functions.annotation import (
     annotated_languages, dominant_language, malformed_fields, parsed_value, raw_fields,
 )
+from ..functions.bind import compute, let
 from ..functions.bytesview import byte_view
 from ..functions.charset import decode_text
 from ..operators.documents import final_document
@@ -47,28 +48,32 @@ class Settings:
     run_date: str | None = None
 
 
-def slim_records(records: DataFrame, content_match: str = "exact") -> DataFrame:
-    """What pairing needs of every record, without page contents."""
-    return records.where(~F.col("torn") & ~F.col("coded")).select(
-        "warc_path", *ORDER, "record_id", "concurrent_to", "rec_headers",
-        F.coalesce(is_html_response(content_match), F.lit(False)).alias("is_page"),
-        is_metadata().alias("is_note"),
-        F.when(is_metadata(), raw_fields(F.col("payload"))).alias("fields"),
-    ).where("is_page OR is_note")
+def slim_records(records: DataFrame, settings: Settings) -> DataFrame:
+    """What pairing needs of every record, without page contents.
 
+    ``note`` judges an annotation, once: its ``fields``, and whether it is
+    ``wanted`` (dominant language is the target), ``unnamed`` (no language
+    list) or ``broken`` (bad JSON, or a language list without a winner).
+    """
 
-def broken_note(fields: str = "fields") -> Column:
-    """An annotation that cannot be read: bad JSON, or a language list without a winner."""
-    languages = annotated_languages(F.col(fields))
-    return malformed_fields(F.col(fields)) | (
-        languages.isNotNull() & dominant_language(languages).isNull()
-    )
-
+    def judged(fields):
+        def by_languages(languages):
+            top = dominant_language(languages)
+            bad = malformed_fields(fields) | (languages.isNotNull() & top.isNull())
+            return F.struct(
+                fields.alias("fields"),
+                F.coalesce(~bad & (top == settings.target), F.lit(False)).alias("wanted"),
+                languages.isNull().alias("unnamed"),
+                bad.alias("broken"),
+            )
+        return let(annotated_languages(fields), by_languages)
 
-def wanted_note(target: str, fields: str = "fields") -> Column:
-    """A readable annotation whose dominant language is ``target``."""
-    top = dominant_language(annotated_languages(F.col(fields)))
-    return F.coalesce(~malformed_fields(F.col(fields)) & (top == target), F.lit(False))
+    return records.where(~F.col("torn") & ~F.col("coded")).select(
+        "warc_path", *ORDER, "record_id", "concurrent_to", "rec_headers",
+        F.coalesce(is_html_response(settings.content_match), F.lit(False)).alias("is_page"),
+        F.coalesce(is_metadata(), F.lit(False)).alias("is_note"),
+        F.when(is_metadata(), let(raw_fields(F.col("payload")), judged)).alias("note"),
+    ).where("is_page OR is_note")
 
 
 def failed_archives(records: DataFrame, settings: Settings) -> DataFrame:
@@ -77,21 +82,21 @@ def failed_archives(records: DataFrame, settings: Settings) -> DataFrame:
     An annotation without a held page before it is never read, so it fails
     nothing. Whether a page is still held is judged by annotations alone.
     """
-    broken, wanted = broken_note(), wanted_note(settings.target)
+    broken = F.col("note.broken")
     return carry_pair(
-        slim_records(records, settings.content_match), "warc_path", ORDER,
-        opens=F.col("is_page"), closes=F.col("is_note"), accepts=broken, consumes=broken | wanted,
+        slim_records(records, settings), "warc_path", ORDER, opens=F.col("is_page"),
+        closes=F.col("is_note"), accepts=broken, consumes=broken | F.col("note.wanted"),
     ).select("warc_path").distinct()
 
 
-def quarantined(records: DataFrame) -> DataFrame:
+def quarantined(records: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Records the job leaves out, with the reason, for inspection."""
-    fields = F.when(is_metadata(), raw_fields(F.col("payload")))
-    return records.withColumn("fields", fields).select(
-        "warc_path", *ORDER, "rec_type", "record_id",
-        F.when(F.col("torn"), "torn").when(broken_note(), "annotation")
-        .when(F.col("coded"), "coded body").alias("reason"),
-    ).where(F.col("reason").isNotNull())
+    broken = slim_records(records, settings).where("note.broken").select(
+        "warc_path", *ORDER, "record_id", F.lit("annotation").alias("reason"))
+    return records.where("torn OR coded").select(
+        "warc_path", *ORDER, "record_id",
+        F.when(F.col("torn"), "torn").otherwise(F.lit("coded body")).alias("reason"),
+    ).unionByName(broken)
 
 
 def usable_records(records: DataFrame, settings: Settings) -> DataFrame:
@@ -111,25 +116,27 @@ def html_pages(records: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def candidates(records: DataFrame, settings: Settings) -> DataFrame:
+def candidates(records: DataFrame, settings: Settings, stage: str | None = None) -> DataFrame:
     """Pages whose annotation names the target language as dominant.
 
     ``warc_path, held, rec_headers, fields, payload, url``: pairs are found on
     slim rows, and page contents are then joined to the pairs alone. Positions
-    are unique, so no join key is hot; Spark broadcasts the pairs where their
-    measured size allows.
+    are unique, so no join key is hot. With ``stage`` the pairs are stored
+    first: their size is then known when the join is planned, and Spark sends
+    them to the pages where they are small instead of shuffling all pages.
     """
-    slim = slim_records(records, settings.content_match)
-    wanted = wanted_note(settings.target)
+    slim = slim_records(records, settings)
     pages = html_pages(records, settings).drop("rec_headers")
     if settings.pairing == "keyed":
-        notes = slim.where(F.col("is_note") & wanted).select("concurrent_to", "rec_headers", "fields")
-        return keyed_pair(notes, pages).drop("concurrent_to")
+        notes = slim.where("is_note AND note.wanted").select(
+            "concurrent_to", "rec_headers", "note.fields")
+        return keyed_pair(_staged(notes, stage, "pairs"), pages).drop("concurrent_to")
     pairs = carry_pair(
-        slim, "warc_path", ORDER, opens=F.col("is_page"), closes=F.col("is_note"),
-        accepts=wanted, keep=("rec_headers", "fields"),
-    )
-    return pairs.join(pages.drop("record_id"), list(KEY)).drop("pos")
+        slim.withColumn("fields", F.col("note.fields")), "warc_path", ORDER,
+        opens=F.col("is_page"), closes=F.col("is_note"),
+        accepts=F.col("note.wanted"), keep=("rec_headers", "fields"),
+    ).drop("pos")
+    return _staged(pairs, stage, "pairs").join(pages.drop("record_id"), list(KEY))
 
 
 def pair_content_first(documents: DataFrame, records: DataFrame, settings: Settings) -> DataFrame:
@@ -139,17 +146,13 @@ def pair_content_first(documents: DataFrame, records: DataFrame, settings: Setti
     target language or names no languages closes it, and only the former yields
     a document. ``documents`` hold ``warc_path, held``; ``fields`` is added.
     """
-    slim = slim_records(records, settings.content_match)
-    opened = documents.select("warc_path", "held.*").withColumns({
-        "is_page": F.lit(True), "is_note": F.lit(False),
-        "fields": F.lit(None).cast("map<string,string>"),
-    })
-    notes = slim.where("is_note").select(*opened.columns)
-    wanted = wanted_note(settings.target)
-    unnamed = annotated_languages(F.col("fields")).isNull()
+    notes = slim_records(records, settings).where("is_note").withColumn("fields", F.col("note.fields"))
+    opened = documents.select("warc_path", "held.*", F.lit(True).alias("is_page"))
     pairs = carry_pair(
-        opened.unionByName(notes), "warc_path", ORDER, opens=F.col("is_page"), closes=F.col("is_note"),
-        accepts=wanted, consumes=wanted | unnamed, keep=("fields",),
+        notes.where(~F.col("is_page")).unionByName(opened, allowMissingColumns=True),
+        "warc_path", ORDER, opens=F.col("is_page"), closes=F.col("is_note"),
+        accepts=F.col("note.wanted"), consumes=F.col("note.wanted") | F.col("note.unnamed"),
+        keep=("fields",),
     )
     return documents.join(pairs.drop("pos"), list(KEY))
 
@@ -160,9 +163,11 @@ def classified(pages: DataFrame, profile: DataFrame, target: str) -> DataFrame:
     Only keys and the short probe text go through the model; its result is
     joined on the keys the pages are already partitioned by.
     """
-    probes = pages.select(*KEY, H.lang_probe_text(byte_view(F.col("payload"))).alias("probe"))
-    found = predict_language(probes.where(F.col("probe").isNotNull()), KEY, "probe", profile)
-    return pages.join(filter_predicted_language(found, target), list(KEY))
+    probes = compute(pages.select(*KEY, "payload"), {
+        "probe": H.lang_probe_text(byte_view(F.col("payload")))}).drop("payload")
+    found = predict_language(probes, KEY, "probe", profile)
+    # both sides are keyed by position; a merge join leaves the pages spread for the work ahead
+    return pages.join(filter_predicted_language(found, target).hint("merge"), list(KEY))
 
 
 def with_text(pages: DataFrame, settings: Settings, profile: DataFrame | None = None,
@@ -210,7 +215,7 @@ def refine(records: DataFrame, settings: Settings, profile: DataFrame | None = N
         return _documents(pair_content_first(pages, usable, settings), settings)
     if settings.pairing not in ("positional", "keyed"):
         raise ValueError("pairing must be 'positional', 'keyed' or 'content_first'")
-    pages = _staged(candidates(usable, settings), stage, "pages")
+    pages = _staged(candidates(usable, settings, stage), stage, "pages")
     if settings.classify:
         pages = classified(pages, profile, settings.target)
     else:
