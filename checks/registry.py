@@ -160,7 +160,7 @@ def raw_and_formatted_text(spark, sf_dir):
 @query
 def filter_extracted(spark, sf_dir):
     return filters.filter_extracted(extract.main_text(V.pages(spark, sf_dir), "html")).select(
-        "page_id", F.length("text").alias("n_chars"))
+        "page_id", F.length("text").cast("bigint").alias("n_chars"))
 
 
 @query

@@ -24,6 +24,7 @@ from .skew import SALTS, lookup_join
 SCALE = 1_000_000
 MAX_GRAMS = 2_000
 MAX_LANGUAGES = 1_000
+BROADCAST_BYTES = 512 * 1024 * 1024  # a profile row: a trigram and one number per language
 
 
 def normalized(text: Column) -> Column:
@@ -112,7 +113,7 @@ def score_languages(df: DataFrame, id_cols: Sequence[str], text_col: str,
     ])
     grams = df.select(*id_cols, F.explode(trigrams(F.col(text_col))).alias("gram"))
     hits = lookup_join(grams, wide, ["gram"], "left", list(id_cols),
-                       max_rows=MAX_GRAMS * max(len(labels), 200))
+                       max_rows=BROADCAST_BYTES // (64 + 8 * len(labels)))
     sums = hits.groupBy(*id_cols).agg(
         F.count(F.lit(1)).alias("n"),
         *[F.coalesce(F.sum(f"w{i}"), F.lit(0)).alias(f"s{i}") for i in range(len(labels))],

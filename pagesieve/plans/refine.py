@@ -99,12 +99,14 @@ def quarantined(records: DataFrame, settings: Settings = Settings()) -> DataFram
     ).unionByName(broken)
 
 
-def usable_records(records: DataFrame, settings: Settings) -> DataFrame:
+def usable_records(records: DataFrame, settings: Settings, stage: str | None = None) -> DataFrame:
+    """Records of archives without a failure, if failures count per archive."""
     if settings.fail_mode == "record":
         return records
     if settings.fail_mode != "archive":
         raise ValueError("fail_mode must be 'record' or 'archive'")
-    return drop_failed_archives(records, failed_archives(records, settings), [*ORDER])
+    failed = _staged(failed_archives(records, settings), stage, "failed")
+    return drop_failed_archives(records, failed, [*ORDER])
 
 
 def html_pages(records: DataFrame, settings: Settings) -> DataFrame:
@@ -208,7 +210,7 @@ def refine(records: DataFrame, settings: Settings, profile: DataFrame | None = N
     later steps then read the few pages in the target language, column by
     column, and a lost executor costs no second pass over the archives.
     """
-    usable = usable_records(records, settings)
+    usable = usable_records(records, settings, stage)
     if settings.pairing == "content_first":
         pages = classified(html_pages(usable, settings).drop("record_id"), profile, settings.target)
         pages = with_text(pages, settings, profile, stage)

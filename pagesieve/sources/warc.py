@@ -41,7 +41,8 @@ def archive_pieces(spark: SparkSession, paths, files_per_batch: int | None = Non
     else:
         reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
     pieces = reader.option("lineSep", RECORD_BREAK).text(paths).select(
-        F.col("_metadata.file_path").alias("file_path"),
+        # given percent-encoded; as readers take it, it is not
+        F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         "value",
     )
