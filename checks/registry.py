@@ -343,7 +343,7 @@ def lineage(spark, sf_dir):
 # --- pairing ------------------------------------------------------------------------------
 def _flagged(spark, sf_dir) -> DataFrame:
     rec = V.records(spark, sf_dir)
-    fields = F.when(filters.is_metadata(), A.raw_fields(F.col("payload")))
+    fields = F.col("fields")
     return rec.select(
         "warc_path", "rec_seq", "record_id", "concurrent_to", "rec_type",
         F.coalesce(filters.is_html_response(), F.lit(False)).alias("is_page"),

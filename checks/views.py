@@ -136,6 +136,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "http_headers": F.when(F.col("content_type").isNotNull(),
                                F.create_map(F.lit("content-type"), F.col("content_type"))),
         "content_length": F.octet_length("payload").cast("bigint"),
+        "fields": F.when(F.col("rec_type") == "metadata", raw_fields(F.col("payload"))),
         "torn": F.lit(False),
         "coded": F.lit(False),
     })

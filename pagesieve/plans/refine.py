@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import htmlmeta as H
 from ..functions.annotation import (
-    annotated_languages, dominant_language, malformed_fields, parsed_value, raw_fields,
+    annotated_languages, dominant_language, malformed_fields, parsed_value,
 )
 from ..functions.bind import compute, let
 from ..functions.bytesview import byte_view
@@ -49,7 +49,7 @@ class Settings:
 
 
 def slim_records(records: DataFrame, settings: Settings) -> DataFrame:
-    """What pairing needs of every record, without page contents.
+    """What pairing needs of every record; page contents are not read for it.
 
     ``note`` judges an annotation, once: its ``fields``, and whether it is
     ``wanted`` (dominant language is the target), ``unnamed`` (no language
@@ -72,7 +72,7 @@ def slim_records(records: DataFrame, settings: Settings) -> DataFrame:
         "warc_path", *ORDER, "record_id", "concurrent_to", "rec_headers",
         F.coalesce(is_html_response(settings.content_match), F.lit(False)).alias("is_page"),
         F.coalesce(is_metadata(), F.lit(False)).alias("is_note"),
-        F.when(is_metadata(), let(raw_fields(F.col("payload")), judged)).alias("note"),
+        F.when(is_metadata(), judged(F.col("fields"))).alias("note"),
     ).where("is_page OR is_note")
 
 

@@ -54,10 +54,11 @@ def work_path(spark: SparkSession, name: str) -> str:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input read as fewer partitions than there are cores.
+    """Use all cores on a stored table that half of them at most would work on.
 
     A small table in one file is one task, whatever follows. A large one has
-    more splits than cores and is left as it is, without a shuffle.
+    more splits than cores and is left as it is, without a shuffle. ``df`` must
+    be a plain scan, whose splits are known without running anything.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df

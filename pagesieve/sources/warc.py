@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.annotation import parse_header_lines
+from ..functions.annotation import parse_header_lines, raw_fields
 from ..functions.bytesview import byte_view, view_bytes
 from ..operators.pairing import hold_latest, running_total
 from ..operators.skew import lookup_join
@@ -26,7 +26,7 @@ RECORD_BREAK = EMPTY_LINE + "WARC/1."
 
 RECORD_COLUMNS = (
     "warc_path", "block_start", "rec_seq", "rec_type", "record_id", "target_uri", "concurrent_to",
-    "rec_headers", "http_headers", "content_length", "payload", "torn", "coded", "file_path",
+    "rec_headers", "http_headers", "content_length", "fields", "payload", "torn", "coded", "file_path",
 )
 
 
@@ -92,7 +92,9 @@ def parse_records(pieces: DataFrame, base: str | None = None) -> DataFrame:
     """Pieces -> records.
 
     ``torn`` marks contents shorter than announced, ``coded`` an HTTP body
-    stored with its transfer or content coding.
+    stored with its transfer or content coding. ``fields`` holds the lines of an
+    annotation, in a column of its own: pairing reads it without the page
+    contents, which make up nearly all of a landed table.
     """
     filled = F.btrim(F.substring("value", 1, 8), F.lit("\r\n")) != ""
     opened = (
@@ -122,7 +124,9 @@ def parse_records(pieces: DataFrame, base: str | None = None) -> DataFrame:
         F.element_at("rec_headers", "WARC-Record-ID").alias("record_id"),
         F.element_at("rec_headers", "WARC-Target-URI").alias("target_uri"),
         F.element_at("rec_headers", "WARC-Concurrent-To").alias("concurrent_to"),
-        "rec_headers", "http_headers", "content_length", "payload", "torn",
+        "rec_headers", "http_headers", "content_length",
+        F.when(F.col("rec_type") == "metadata", raw_fields(F.col("payload"))).alias("fields"),
+        "payload", "torn",
         ((F.col("rec_type") == "response")
          & (F.coalesce(chunked, F.lit(False)) | F.coalesce(packed, F.lit(False)))).alias("coded"),
         "file_path",
