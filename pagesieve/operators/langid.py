@@ -88,15 +88,15 @@ def store_profile(profile: DataFrame, path: str) -> DataFrame:
     return profile.sparkSession.read.parquet(path)
 
 
-def profile_languages(profile: DataFrame) -> list[tuple[str, int]]:
-    """``(code, default_weight)`` per language, in code order: the model's label list."""
+def profile_languages(profile: DataFrame) -> list[tuple[str, int, int]]:
+    """``(code, default_weight, trigrams)`` per language, in code order: the model's label list."""
     rows = (
-        profile.groupBy("lang").agg(F.first("default_weight").alias("w"))
+        profile.groupBy("lang").agg(F.first("default_weight").alias("w"), F.count(F.lit(1)).alias("n"))
         .orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
     )
     if len(rows) > MAX_LANGUAGES:
         raise ValueError(f"a profile holds at most {MAX_LANGUAGES} languages")
-    return [(r["lang"], r["w"]) for r in rows]
+    return [(r["lang"], r["w"], r["n"]) for r in rows]
 
 
 def score_languages(df: DataFrame, id_cols: Sequence[str], text_col: str,
@@ -109,11 +109,12 @@ def score_languages(df: DataFrame, id_cols: Sequence[str], text_col: str,
     labels = profile_languages(profile)
     wide = profile.groupBy("gram").agg(*[
         F.coalesce(F.max(F.when(F.col("lang") == code, F.col("weight"))), F.lit(0)).alias(f"w{i}")
-        for i, (code, _) in enumerate(labels)
+        for i, (code, _, _) in enumerate(labels)
     ])
     grams = df.select(*id_cols, F.explode(trigrams(F.col(text_col))).alias("gram"))
     hits = lookup_join(grams, wide, ["gram"], "left", list(id_cols),
-                       max_rows=BROADCAST_BYTES // (64 + 8 * len(labels)))
+                       max_rows=BROADCAST_BYTES // (64 + 8 * len(labels)),
+                       rows=sum(n for _, _, n in labels))
     sums = hits.groupBy(*id_cols).agg(
         F.count(F.lit(1)).alias("n"),
         *[F.coalesce(F.sum(f"w{i}"), F.lit(0)).alias(f"s{i}") for i in range(len(labels))],
@@ -123,7 +124,7 @@ def score_languages(df: DataFrame, id_cols: Sequence[str], text_col: str,
             F.lit(code).alias("code"),
             (F.col(f"s{i}") + F.col("n") * F.lit(default)).alias("score"),
         )
-        for i, (code, default) in enumerate(labels)
+        for i, (code, default, _) in enumerate(labels)
     ])
     best = F.array_max(F.transform(F.col("scores"), lambda x: x["score"]))
     likelihoods = F.transform(

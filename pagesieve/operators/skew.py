@@ -39,12 +39,16 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
-                spread: Sequence[str], max_rows: int = BROADCAST_ROWS) -> DataFrame:
+                spread: Sequence[str], max_rows: int = BROADCAST_ROWS,
+                rows: int | None = None) -> DataFrame:
     """Broadcast ``right`` if it has at most ``max_rows`` rows, else salt the join.
 
-    ``right`` is counted for this, so pass a stored table.
+    ``rows`` is a known upper bound of its rows. Without one ``right`` is
+    counted, so pass a stored table.
     """
-    if right.limit(max_rows + 1).count() <= max_rows:
+    if rows is None:
+        rows = right.limit(max_rows + 1).count()
+    if rows <= max_rows:
         return left.join(F.broadcast(right), list(on), how)
     return salted_join(left, right, on, how, spread)
 
