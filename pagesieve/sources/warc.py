@@ -219,9 +219,31 @@ def decoded_bodies(records: DataFrame) -> DataFrame:
     """Undo transfer and content codings of stored HTTP bodies.
 
     Only rows marked ``coded`` go through Python; a body that cannot be undone
-    keeps its bytes and its mark.
+    keeps its bytes and its mark. The helpers are local, so that workers need
+    not have this package.
     """
 
+    def plain(body, transfer, content):
+        import zlib
+
+        try:
+            if "chunked" in transfer.lower():
+                out, at = [], 0
+                while True:
+                    line_end = body.index(b"\r\n", at)
+                    size = int(body[at:line_end].split(b";")[0], 16)
+                    if size == 0:
+                        break
+                    out.append(body[line_end + 2:line_end + 2 + size])
+                    at = line_end + 2 + size + 2
+                body = b"".join(out)
+            if "gzip" in content.lower() or "deflate" in content.lower():
+                wrapped = body[:2] == b"\x1f\x8b" or body[:1] == b"\x78"
+                body = zlib.decompress(body, 47 if wrapped else -15)
+            return body
+        except (ValueError, zlib.error):
+            return None
+
     def undo(batches):
         import pyarrow as pa
 
@@ -229,8 +251,8 @@ def decoded_bodies(records: DataFrame) -> DataFrame:
             bodies, marks = [], []
             for row in batch.select(["payload", "http_headers"]).to_pylist():
                 headers = dict(row["http_headers"])
-                body = _plain_body(row["payload"], headers.get("transfer-encoding", ""),
-                                   headers.get("content-encoding", ""))
+                body = plain(row["payload"], headers.get("transfer-encoding", ""),
+                             headers.get("content-encoding", ""))
                 bodies.append(row["payload"] if body is None else body)
                 marks.append(body is None)
             for name, values, kind in (("payload", bodies, pa.binary()), ("coded", marks, pa.bool_())):
@@ -242,27 +264,6 @@ def decoded_bodies(records: DataFrame) -> DataFrame:
         records.where(coded).mapInArrow(undo, records.schema))
 
 
-def _plain_body(body: bytes, transfer: str, content: str) -> bytes | None:
-    import zlib
-
-    try:
-        if "chunked" in transfer.lower():
-            out, at = [], 0
-            while True:
-                line_end = body.index(b"\r\n", at)
-                size = int(body[at:line_end].split(b";")[0], 16)
-                if size == 0:
-                    break
-                out.append(body[line_end + 2:line_end + 2 + size])
-                at = line_end + 2 + size + 2
-            body = b"".join(out)
-        if "gzip" in content.lower() or "deflate" in content.lower():
-            body = zlib.decompress(body, 47 if body[:2] in (b"\x1f\x8b",) or body[:1] == b"\x78" else -15)
-        return body
-    except (ValueError, zlib.error):
-        return None
-
-
 def land_archives(pieces: DataFrame, path: str, base: str | None = None,
                   name: Column | None = None) -> DataFrame:
     """Pieces of archives -> stored, complete records, read back from ``path``.
@@ -273,15 +274,17 @@ def land_archives(pieces: DataFrame, path: str, base: str | None = None,
     """
     spark = pieces.sparkSession
     scanned = land_records(parse_records(pieces, base), f"{path}/scanned")
-    torn = scanned.where("torn").select("file_path").distinct()
-    records = decoded_bodies(scanned)
     # file names, as the reader takes them; no more than the archives of this run
-    again = [row["file_path"] for row in torn.collect()]
+    odd = scanned.where("torn OR coded").select("file_path", "torn", "coded").distinct().collect()
+    records = decoded_bodies(scanned) if any(row["coded"] for row in odd) else scanned
+    again = sorted({row["file_path"] for row in odd if row["torn"]})
     if again:
         stored = f"{path}/pieces"
         archive_pieces(spark, again).write.mode("overwrite").option("compression", "zstd").parquet(stored)
         whole = land_records(parse_records(mend(spark.read.parquet(stored)), base), f"{path}/mended")
-        intact = lookup_join(records, torn, ["file_path"], "left_anti", ["block_start", "rec_seq"])
+        torn = scanned.where("torn").select("file_path").distinct()
+        intact = lookup_join(records, torn, ["file_path"], "left_anti", ["block_start", "rec_seq"],
+                             rows=len(again))
         records = intact.unionByName(decoded_bodies(whole))
     return records if name is None else records.withColumn("warc_path", name)
 
