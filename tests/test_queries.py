@@ -25,6 +25,10 @@ def test_query(spark, con, sf_dir, name):
     assert rows == want
 
 
+def test_entry_lists_these_queries():
+    assert set(entry_point.queries()) >= set(queries())
+
+
 def test_entry(spark):
     df = entry_point.entry(spark)
     assert df.count() > 0
