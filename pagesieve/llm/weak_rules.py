@@ -11,7 +11,7 @@ Everything is built-in functions over a row; nothing is exploded or shuffled but
 the pattern counts.
 
 Cases: null text has no word, fails the base rules and is rejected. An empty
-table leaves the starting accuracies in place. Very long texts cost n log n.
+table leaves the starting chances in place. Very long texts cost n log n.
 Repeated rows get equal rows. Null ids pass through. The operator adds columns
 starting with ``q_`` only; other columns are kept as they are.
 """
@@ -79,46 +79,45 @@ def measures(text: Column) -> dict[str, Column]:
         "q_lines": let(lines, lambda x: F.struct(
             F.size(x).cast("bigint").alias("n"),
             (F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("repeated"))),
-        "q_n_upper": F.length(F.regexp_replace(known, r"[^\p{Lu}]+", "")).cast("bigint"),
+        "q_n_upper": F.regexp_count(known, F.lit(r"\p{Lu}")).cast("bigint"),
         "q_n_shouts": (F.length(known) - F.length(T.without(known, "!"))).cast("bigint"),
+        "q_n_stops": (F.length(known) - F.length(T.without(known, ".?!"))).cast("bigint"),
     }
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``value`` per cent of ``of``: above ``bad`` the vote is -1, at most ``good`` it is +1, between 0."""
+    """Votes -1 where ``bad`` holds, +1 where ``good`` does, else 0. A ``defect`` rule hardly
+    ever fires on a good text; where it is silent that says little."""
 
     name: str
-    value: str
-    of: str
-    good: float
-    bad: float
+    bad: str
+    good: str = "false"
+    defect: bool = True
 
 
-# A share of a text's words, signs or lines in per cent.
+# Conditions on the measures; shares are per 100 words or per 100 signs of words.
 RULES = (
-    Rule("few_symbols", "q_n_symbols", "q_n_words", good=4, bad=20),
-    Rule("few_capitals", "q_n_upper", "q_word_chars", good=12, bad=40),
-    Rule("few_shouts", "q_n_shouts", "q_n_words", good=2, bad=15),
-    Rule("few_repeated_words", "q_n_repeat_words", "q_n_words", good=2, bad=20),
-    Rule("few_repeated_lines", "q_n_dup_lines", "q_n_lines", good=5, bad=30),
-    Rule("plain_word_length", "q_word_chars", "q_n_words", good=900, bad=1400),
-    Rule("long_enough", "q_too_short", "q_one", good=0, bad=50),
+    Rule("symbols", bad="100 * q_n_symbols > 20 * q_n_words"),
+    Rule("shouting", bad="100 * q_n_upper > 40 * q_word_chars or 100 * q_n_shouts > 15 * q_n_words"),
+    Rule("repetition", bad="100 * q_n_repeat_words > 20 * q_n_words or 100 * q_n_dup_lines > 50 * q_n_lines"),
+    Rule("odd_words", bad="q_word_chars > 14 * q_n_words or 10 * q_word_chars < 25 * q_n_words"),
+    Rule("length", bad="q_n_words < 10", good="q_n_words >= 25", defect=False),
+    Rule("sentences", bad="q_n_words >= 25 and 200 * q_n_stops < q_n_words",
+         good="100 * q_n_stops between 2 * q_n_words and 50 * q_n_words", defect=False),
+    Rule("plain_prose", bad="false",
+         good="100 * q_n_symbols < q_n_words and 100 * q_n_upper < 25 * q_word_chars", defect=False),
 )
-SHORT, ENOUGH = 10, 25
 
 
 def vote(rule: Rule) -> Column:
-    share = 100.0 * F.col(rule.value) / F.greatest(F.col(rule.of), F.lit(1))
-    return F.when(share > rule.bad, -1).when(share <= rule.good, 1).otherwise(0)
+    return F.when(F.expr(rule.bad), -1).when(F.expr(rule.good), 1).otherwise(0)
 
 
 def measured(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
     """``docs`` with the measures and one vote per rule, each evaluated once."""
     rows = compute(docs, measures(F.col(text_col)))
     rows = rows.select("*", F.col("q_lines.n").alias("q_n_lines"), F.col("q_lines.repeated").alias("q_n_dup_lines"))
-    too_short = F.when(F.col("q_n_words") < SHORT, 1.0).when(F.col("q_n_words") < ENOUGH, 0.4).otherwise(0.0)
-    rows = rows.select("*", too_short.alias("q_too_short"), F.lit(1).alias("q_one"))
     return rows.select("*", F.array(*[vote(r) for r in rules]).alias("q_votes"))
 
 
@@ -130,9 +129,12 @@ class Estimate:
     chances: tuple[tuple[tuple[float, float, float], tuple[float, float, float]], ...]
 
 
-def start(n_rules: int) -> Estimate:
-    """Rules are taken for right seven times out of ten when they vote."""
-    return Estimate(0.8, (((0.56, 0.2, 0.24), (0.24, 0.2, 0.56)),) * n_rules)
+def start(rules: Sequence[Rule]) -> Estimate:
+    """Where the estimation begins: nine of ten documents are good, defect rules rarely
+    fire and then are right, the others mostly say good of good ones."""
+    defect = ((0.3, 0.68, 0.02), (0.002, 0.978, 0.02))
+    merit = ((0.1, 0.5, 0.4), (0.01, 0.14, 0.85))
+    return Estimate(0.9, tuple(defect if r.defect else merit for r in rules))
 
 
 def log_odds(estimate: Estimate, votes: Sequence[int]) -> float:
@@ -142,31 +144,37 @@ def log_odds(estimate: Estimate, votes: Sequence[int]) -> float:
     return total
 
 
-def maximise(patterns: Sequence[tuple[Sequence[int], int]], n_rules: int, rounds: int = 100) -> Estimate:
-    """Expectation-maximisation over ``(votes, number of documents)``."""
-    estimate = start(n_rules)
+def maximise(patterns: Sequence[tuple[Sequence[int], int]], rules: Sequence[Rule], rounds: int = 200,
+             anchor: float = 0.02) -> Estimate:
+    """Expectation-maximisation over ``(votes, number of documents)``.
+
+    The starting chances count as ``anchor`` times as many documents in each class, which
+    keeps the classes from changing their meaning.
+    """
+    first = found = start(rules)
+    weight = 1 + anchor * sum(n for _, n in patterns)
     for _ in range(rounds):
-        mass = [0.0, 0.0]
-        seen = [[[1.0, 1.0, 1.0], [1.0, 1.0, 1.0]] for _ in range(n_rules)]  # Laplace
+        mass = [weight * (1 - first.prior), weight * first.prior]
+        seen = [[[weight * x for x in side] for side in rule] for rule in first.chances]
         for votes, n in patterns:
-            good = 1 / (1 + math.exp(-max(-500.0, min(500.0, log_odds(estimate, votes)))))
+            good = 1 / (1 + math.exp(-max(-500.0, min(500.0, log_odds(found, votes)))))
             for side, share in ((0, 1 - good), (1, good)):
                 mass[side] += n * share
                 for k, v in enumerate(votes):
                     seen[k][side][v + 1] += n * share
-        prior = (mass[1] + 1) / (mass[0] + mass[1] + 2)
+        prior = mass[1] / (mass[0] + mass[1])
         chances = tuple(tuple(tuple(x / sum(side) for x in side) for side in rule) for rule in seen)
-        moved = abs(prior - estimate.prior)
-        estimate = Estimate(prior, chances)
+        moved = abs(prior - found.prior)
+        found = Estimate(prior, chances)
         if moved < 1e-9:
             break
-    return estimate
+    return found
 
 
 def estimate(docs: DataFrame, rules: Sequence[Rule] = RULES) -> Estimate:
     """From rows with ``q_votes``: one count per pattern, at most 3^R rows."""
     rows = docs.groupBy("q_votes").count().collect()
-    return maximise(sorted((tuple(r["q_votes"]), r["count"]) for r in rows), len(rules))
+    return maximise(sorted((tuple(r["q_votes"]), r["count"]) for r in rows), rules)
 
 
 def posterior(found: Estimate, rules: Sequence[Rule] = RULES) -> Column:
@@ -184,14 +192,12 @@ def base_failed() -> Column:
     return (F.col("q_n_words") < 10) | (100 * F.col("q_n_repeat_words") > 20 * F.col("q_n_words"))
 
 
-def judge(docs: DataFrame, text_col: str = "text", least: float = 0.5,
-          rules: Sequence[Rule] = RULES, counted: DataFrame | None = None) -> DataFrame:
+def judge(docs: DataFrame, text_col: str = "text", least: float = 0.5, rules: Sequence[Rule] = RULES) -> DataFrame:
     """All rows with the measures, ``q_posterior``, ``q_base_failed`` and ``q_kept``.
 
-    Votes are gone through twice: once to count patterns, once for the result.
-    ``counted`` may name a stored table with the votes of the same rows.
+    Texts are gone through twice: once to count vote patterns, once for the result.
     """
     rows = measured(docs, text_col, rules)
-    found = estimate(rows if counted is None else counted, rules)
+    found = estimate(rows, rules)
     rows = rows.withColumn("q_posterior", posterior(found, rules)).withColumn("q_base_failed", base_failed())
     return rows.withColumn("q_kept", ~F.col("q_base_failed") & (F.col("q_posterior") >= least))
