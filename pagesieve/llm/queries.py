@@ -71,7 +71,7 @@ def op7_license_scan(spark, sf_dir):
 
 
 def op8_quality_rules(spark, sf_dir):
-    judged = weak_rules.judge(table(spark, sf_dir, "documents"))
+    judged = weak_rules.judge(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return judged.select(
         "doc_id", F.col("q_n_words").alias("n_words"), F.col("q_word_chars").alias("word_chars"),
         F.col("q_n_symbols").alias("n_symbols"), F.col("q_n_dup_lines").alias("n_dup_lines"),

@@ -13,20 +13,23 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def without(text: Column, signs: str) -> Column:
-    """``text`` without any of ``signs``."""
-    return F.translate(text, signs, "")
+    """``text`` without any of ``signs``; searching for a sign is faster than translating every one."""
+    for sign in signs:
+        text = F.replace(text, F.lit(sign), F.lit(""))
+    return text
 
 
 def words(text: Column) -> Column:
     """All words in order; null has none."""
-    spaced = F.trim(F.translate(F.coalesce(text, F.lit("")), BLANKS, " " * len(BLANKS)))
-    return F.when(spaced == "", F.array().cast("array<string>")).otherwise(F.split(spaced, " +"))
+    spaced = F.coalesce(text, F.lit(""))
+    for sign in BLANKS[1:]:
+        spaced = F.replace(spaced, F.lit(sign), F.lit(" "))
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def word_count(text: Column) -> Column:
     """Number of words, without making them."""
-    spaced = F.trim(F.translate(F.coalesce(text, F.lit("")), BLANKS, " " * len(BLANKS)))
-    return F.when(spaced == "", F.lit(0)).otherwise(F.regexp_count(spaced, F.lit(" +")) + 1).cast("bigint")
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
 def lines_with_words(text: Column) -> Column:

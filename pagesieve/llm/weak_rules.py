@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bind import compute, let
+from ..session import work_path
 from . import textnative as T
 
 WINDOW = 5
@@ -41,8 +42,9 @@ def repeated_words(words: Column, width: int = WINDOW) -> Column:
     """
 
     def hashed(w: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.size(w) - width)
-        return F.transform(starts, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(width)]))
+        n = F.size(w) - (width - 1)
+        windows = F.arrays_zip(*[F.slice(w, k + 1, n).alias(f"w{k}") for k in range(width)])
+        return F.transform(windows, lambda x: F.xxhash64(x))
 
     def covered(h: Column) -> Column:
         placed = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
@@ -64,24 +66,27 @@ def repeated_words(words: Column, width: int = WINDOW) -> Column:
     def counted(h: Column) -> Column:
         return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered(h))
 
-    return let(words, lambda w: F.when(F.size(w) <= width, F.lit(0)).otherwise(let(hashed(w), counted)))
+    return F.when(F.size(words) <= width, F.lit(0)).otherwise(let(hashed(words), counted))
 
 
 def measures(text: Column) -> dict[str, Column]:
     """What the rules look at, by name."""
     known = F.coalesce(text, F.lit(""))
-    lines = T.lines_with_words(text)
+
+    def count(pattern: str) -> Column:
+        return F.regexp_count(known, F.lit(pattern)).cast("bigint")
+
     return {
-        "q_n_words": T.word_count(text),
-        "q_word_chars": F.length(T.without(known, T.BLANKS)).cast("bigint"),
-        "q_n_symbols": (F.length(known) - F.length(T.without(known, SYMBOLS))).cast("bigint"),
-        "q_n_repeat_words": repeated_words(T.words(text)).cast("bigint"),
-        "q_lines": let(lines, lambda x: F.struct(
+        "q_words": let(T.words(text), lambda w: F.struct(
+            F.size(w).cast("bigint").alias("n"), repeated_words(w).cast("bigint").alias("repeated"))),
+        "q_lines": let(T.lines_with_words(text), lambda x: F.struct(
             F.size(x).cast("bigint").alias("n"),
             (F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("repeated"))),
-        "q_n_upper": F.regexp_count(known, F.lit(r"\p{Lu}")).cast("bigint"),
-        "q_n_shouts": (F.length(known) - F.length(T.without(known, "!"))).cast("bigint"),
-        "q_n_stops": (F.length(known) - F.length(T.without(known, ".?!"))).cast("bigint"),
+        "q_word_chars": F.length(T.without(known, T.BLANKS)).cast("bigint"),
+        "q_n_symbols": count(f"[{SYMBOLS}]"),
+        "q_n_upper": count(r"\p{Lu}"),
+        "q_n_shouts": count("!"),
+        "q_n_stops": count("[.?!]"),
     }
 
 
@@ -117,7 +122,8 @@ def vote(rule: Rule) -> Column:
 def measured(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
     """``docs`` with the measures and one vote per rule, each evaluated once."""
     rows = compute(docs, measures(F.col(text_col)))
-    rows = rows.select("*", F.col("q_lines.n").alias("q_n_lines"), F.col("q_lines.repeated").alias("q_n_dup_lines"))
+    rows = rows.select("*", F.col("q_words.n").alias("q_n_words"), F.col("q_words.repeated").alias("q_n_repeat_words"),
+                       F.col("q_lines.n").alias("q_n_lines"), F.col("q_lines.repeated").alias("q_n_dup_lines"))
     return rows.select("*", F.array(*[vote(r) for r in rules]).alias("q_votes"))
 
 
@@ -192,12 +198,19 @@ def base_failed() -> Column:
     return (F.col("q_n_words") < 10) | (100 * F.col("q_n_repeat_words") > 20 * F.col("q_n_words"))
 
 
-def judge(docs: DataFrame, text_col: str = "text", least: float = 0.5, rules: Sequence[Rule] = RULES) -> DataFrame:
+def judge(docs: DataFrame, text_col: str = "text", least: float = 0.5, rules: Sequence[Rule] = RULES,
+          keep: Sequence[str] | None = None) -> DataFrame:
     """All rows with the measures, ``q_posterior``, ``q_base_failed`` and ``q_kept``.
 
-    Texts are gone through twice: once to count vote patterns, once for the result.
+    Texts are gone through once: the measures, with the columns to ``keep`` (all by
+    default), are stored in the shared folder, and patterns are counted from there.
     """
-    rows = measured(docs, text_col, rules)
+    rows = measured(docs, text_col, rules).drop("q_words", "q_lines")
+    if keep is not None:
+        rows = rows.select(*keep, *[c for c in rows.columns if c.startswith("q_")])
+    path = work_path(docs.sparkSession, "quality")
+    rows.write.parquet(path)
+    rows = docs.sparkSession.read.parquet(path)
     found = estimate(rows, rules)
     rows = rows.withColumn("q_posterior", posterior(found, rules)).withColumn("q_base_failed", base_failed())
     return rows.withColumn("q_kept", ~F.col("q_base_failed") & (F.col("q_posterior") >= least))
