@@ -101,14 +101,17 @@ def leaf_budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     """``(levels, tokens)`` per leaf -> the same with ``budget``."""
     sized = leaves.withColumn("leaf_capacity", F.col("tokens") * mix.max_epochs)
     parents: list[str] = []
-    table = leaves.agg(F.floor(F.sum("tokens") * mix.budget_percent / 100).cast("bigint").alias("given0")).withColumn(
-        "one", F.lit(1))
+    total = leaves.agg(F.sum("tokens")).first()[0] or 0
+    budget = total * mix.budget_percent // 100
+    table = None
     for depth, level in enumerate(LEVELS):
         nodes = sized.groupBy(*parents, level).agg(F.sum("leaf_capacity").alias("capacity")).withColumn(
-            "weight", _weight(F.col(level), mix.weights[depth], mix.default_weights[depth])).withColumn("one", F.lit(1))
-        keys = parents or ["one"]
-        nodes = nodes.join(table, keys)
-        table = share_out(nodes, keys, level, f"given{depth}", f"given{depth + 1}").select(
+            "weight", _weight(F.col(level), mix.weights[depth], mix.default_weights[depth]))
+        if parents:
+            nodes = nodes.join(table, parents)
+        else:
+            nodes = nodes.withColumn("given0", F.lit(budget).cast("bigint"))
+        table = share_out(nodes, parents, level, f"given{depth}", f"given{depth + 1}").select(
             *parents, level, f"given{depth + 1}")
         parents = [*parents, level]
     return leaves.join(table.withColumnRenamed(f"given{len(LEVELS)}", "budget"), list(LEVELS), "left").withColumn(
