@@ -1,22 +1,24 @@
 """N-gram Jaccard join with prefix trees, and its groups.
 
-Every text is the set of its word n-grams, as 64-bit numbers in one global order:
-n-grams that many texts share come last, others by hash. Two sets of similarity
-``t`` or more then share one of their first ``n - ceil(t n) + 1`` members, most of
-which are rare.
-
-1. Frequent n-grams are counted over all texts (counted within tasks first) and
-   the most frequent ones go into a table of fixed size, the top six bits of a
-   number. Any table gives right results; it only decides what comes first.
-2. Texts with the same set are folded into one.
-3. Sets that share a prefix member are tied to the smallest of them, and the
-   connected sets are candidates for one another. Nothing is emitted by pair.
-4. Each candidate set is sent whole, once, to the task of its candidate group. There
+Every text is the set of its word n-grams, as 64-bit numbers in ascending order.
+
+1. Texts with the same set are folded into one.
+2. Candidates, without a pair being emitted: sets that can be linked differ in at
+   most ``k`` members, which follows from their sizes. If the range of numbers is
+   cut into more than ``k`` parts, two such sets have a part with equal members. So a
+   set is known by the hash of its members in each part, and sets with an equal part
+   are tied to the smallest of them. A part holds several n-grams, so sharing a line
+   or a passage ties nobody. Sizes are classed so that linked sets are in the same
+   class or in neighbouring ones. Parts that are empty in both sets say nothing:
+   some more parts than ``k + 1`` are made, and sets with more empty parts than that
+   are tied by empty parts, too. Equal parts are tied within tasks first, so a
+   part that a third of all sets share is one entry per task.
+3. Each candidate set is sent whole, once, to the task of its candidate group. There
    the sets are stored in a prefix tree and each walks it: members shared by
    many sets are compared once, and a subtree is left when what remains of either
    side is too short for the similarity, or when all its sets are linked with the
    set already.
-5. A candidate group of more than ``BLOCK`` sets is cut into blocks, each joined by a
+4. A candidate group of more than ``BLOCK`` sets is cut into blocks, each joined by a
    few sets common to all. Mostly these are one linked group afterwards; what is
    not in its largest part is then compared, block by block, with all of it.
    No task holds more than two blocks, and no link is missed.
@@ -41,10 +43,9 @@ from ..session import work_path
 from . import words as W
 from .components import components
 
-COMMON_SLOTS = 1 << 20
-COMMON_TOKENS = 1 << 17
-COMMON_LEAST = 8
-CHUNK_TOKENS = 1_000_000
+HASH_BITS = 58
+CHUNK_PARTS = 2_000_000
+BUCKET_PARTS = 500_000
 BLOCK = 128
 LEADERS = 8
 GROUP_SETS = 256
@@ -52,18 +53,14 @@ _NO_ID = -(1 << 63)
 
 
 class Sets:
-    """Texts to ordered n-gram sets; one per task. ``ranks``: frequency class by slot."""
+    """Texts to n-gram sets; one per task."""
 
-    def __init__(self, width: int, ranks: bytes | None = None):
+    def __init__(self, width: int):
         self.width, self._words = width, W.WordHashes()
-        self._ranks = None if ranks is None else np.frombuffer(ranks, np.uint8)
 
     def of(self, text: str | None) -> np.ndarray:
-        """Ascending numbers below 2^63: five bits of class, 58 of hash."""
-        members = W.shingles(self._words.of(text), self.width) >> np.uint64(6)
-        if self._ranks is not None:
-            members = members | self._ranks[members & np.uint64(COMMON_SLOTS - 1)].astype(np.uint64) << np.uint64(58)
-        return np.unique(members)
+        """Ascending numbers below 2^58."""
+        return np.unique(W.shingles(self._words.of(text), self.width) >> np.uint64(64 - HASH_BITS))
 
 
 def least_overlap(n: int, m: int, percent: int) -> int:
@@ -71,8 +68,46 @@ def least_overlap(n: int, m: int, percent: int) -> int:
     return -(-percent * (n + m) // (100 + percent))
 
 
-def prefix_length(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1
+class Parts:
+    """Hashes of a set's parts; one per task."""
+
+    def __init__(self, percent: int):
+        self.percent = percent
+        self._starts = [1]  # of size classes
+        self._edges: dict[int, tuple[np.ndarray, int]] = {}
+
+    def size_class(self, n: int) -> int:
+        while self._starts[-1] <= n:
+            self._starts.append(self._starts[-1] * 100 // self.percent + 1)
+        return int(np.searchsorted(self._starts, n, side="right")) - 1
+
+    def _cut(self, c: int) -> tuple[np.ndarray, int]:
+        """Where parts begin when a set of class ``c`` meets one that is not smaller, and how many may be empty."""
+        if c not in self._edges:
+            self.size_class(self._starts[-1] if c + 1 >= len(self._starts) else 1)
+            n = self._starts[c + 1] - 1
+            k = (100 - self.percent) * (n + n * 100 // self.percent) // (100 + self.percent)
+            spare = 3 + (k + 1) // 32
+            m = k + 1 + spare
+            edges = np.array([i * (1 << HASH_BITS) // m for i in range(m)], np.uint64)
+            self._edges[c] = (edges, spare)
+        return self._edges[c]
+
+    def of(self, members: np.ndarray) -> np.ndarray:
+        """All part hashes of a set that is not empty: as the smaller and as the larger side."""
+        hashed, own, out = W.mix(members), self.size_class(len(members)), []
+        for c in (own, own - 1) if own else (own,):
+            edges, spare = self._cut(c)
+            at = np.searchsorted(members, edges)
+            filled = np.flatnonzero(np.diff(at, append=len(members)))
+            sums = np.add.reduceat(hashed, at[filled])
+            salt = W.mix((np.arange(len(edges), dtype=np.uint64) << np.uint64(8)) ^ np.uint64(c << 40))
+            out.append(W.mix(sums ^ salt[filled]))
+            if len(edges) - len(filled) > spare:
+                empty = np.ones(len(edges), bool)
+                empty[filled] = False
+                out.append(W.mix(~salt[empty]))
+        return np.concatenate(out)
 
 
 class _Node:
@@ -167,73 +202,19 @@ def tree_links(sets: Sequence[np.ndarray], percent: int) -> list[tuple[int, int]
     return links
 
 
-def common_ranks(docs: DataFrame, text_col: str, width: int) -> bytes:
-    """Frequency class (log2) of the most frequent n-grams by slot; 0 for all others.
-
-    Counts cover all texts; numbers met once in a chunk of texts are left out of
-    them. The table holds at most ``COMMON_TOKENS`` n-grams: the least class in it
-    is set so.
-    """
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made, held, size = Sets(width), [], 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            values, n = np.unique(np.concatenate(held), return_counts=True)
-            many = n > 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(values[many].astype(np.int64)), pa.array(n[many])], names=["token", "n"])
-
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                held.append(made.of(text))
-                size += len(held[-1])
-                if size >= CHUNK_TOKENS:
-                    yield from flush()
-                    held, size = [], 0
-        if held:
-            yield from flush()
-
-    sums = docs.where(F.col(text_col).isNotNull()).select(text_col).mapInArrow(
-        counted, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n")).where(
-        F.col("n") >= COMMON_LEAST).withColumn("rank", F.least(F.floor(F.log2("n")), F.lit(31)).cast("int"))
-    path = work_path(docs.sparkSession, "common")
-    sums.write.parquet(path)
-    sums = docs.sparkSession.read.parquet(path)
-    least, total = 32, 0
-    for row in sorted(sums.groupBy("rank").count().collect(), reverse=True):  # at most 32 rows
-        total += row["count"]
-        if total > COMMON_TOKENS:
-            break
-        least = row["rank"]
-    slots = sums.where(F.col("rank") >= least).groupBy(F.expr(f"token & {COMMON_SLOTS - 1}").alias("slot")).agg(
-        F.max("rank").alias("rank")).collect()  # at most COMMON_TOKENS rows
-    table = np.zeros(COMMON_SLOTS, np.uint8)
-    for row in slots:
-        table[row["slot"]] = row["rank"]
-    return table.tobytes()
-
-
-def ordered_sets(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, ranks: bytes) -> DataFrame:
-    """``key, n, sid, prefix``: size, identity and prefix of every text's set."""
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+def stored_sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """``key, n, sid``: size and identity of every text's set."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = Sets(width, shared.value)
+        sets = Sets(width)
         for batch in batches:
-            sizes, ids, prefixes = [], [], []
-            for text in batch.column(1).to_pylist():
-                s = sets.of(text)
-                sizes.append(len(s))
-                ids.append(identity(s))
-                prefixes.append(s[:prefix_length(len(s), percent)].astype(np.int64) if len(s) else [])
+            found = [(len(s), identity(s)) for s in map(sets.of, batch.column(1).to_pylist())]
+            sizes, ids = zip(*found, strict=True) if found else ((), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()),
-                 pa.array(prefixes, pa.list_(pa.int64()))], names=["key", "n", "sid", "prefix"])
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64())], names=["key", "n", "sid"])
 
-    return docs.select(id_col, text_col).mapInArrow(
-        made, f"key {id_type}, n bigint, sid bigint, prefix array<bigint>")
+    return docs.select(id_col, text_col).mapInArrow(made, f"key {id_type}, n bigint, sid bigint")
 
 
 def identity(members: np.ndarray) -> int:
@@ -242,29 +223,81 @@ def identity(members: np.ndarray) -> int:
     return int(W.as_signed(W.mix(np.array([h], np.uint64) ^ np.uint64(len(members))))[0])
 
 
-def candidate_edges(sets: DataFrame) -> DataFrame:
-    """``a, b``: every set tied to the smallest one that has a prefix member in common."""
-    spread = sets.select("sid", F.explode("prefix").alias("token"))
-    path = work_path(sets.sparkSession, "prefix-shared")
-    shared = spread.groupBy("token").agg(
-        F.count(F.lit(1)).alias("n"), F.min("sid").alias("low"), F.max("sid").alias("high")).where("n > 1")
-    shared.write.parquet(path)
-    shared = sets.sparkSession.read.parquet(path)
-    pairs = shared.where("n = 2").select(F.col("low").alias("a"), F.col("high").alias("b"))
-    more = spread.join(shared.where("n > 2").select("token", "low"), "token").select(
-        F.col("low").alias("a"), F.col("sid").alias("b"))
-    return pairs.unionByName(more.where("a <> b")).distinct()
+def ties(parts: np.ndarray, sids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct parts with their smallest set, and ``(set, smallest set)`` where the two differ."""
+    order = np.lexsort((sids, parts))
+    parts, sids = parts[order], sids[order]
+    first = np.concatenate(([True], parts[1:] != parts[:-1])) if len(parts) else np.zeros(0, bool)
+    low = sids[first][np.cumsum(first) - 1] if len(parts) else sids
+    tied = low != sids
+    pairs = np.unique(np.stack([sids[tied], low[tied]]), axis=1)
+    return parts[first], sids[first], pairs[0], pairs[1]
 
 
-def verified_links(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int, percent: int,
-                   ranks: bytes) -> DataFrame:
+def candidate_edges(docs: DataFrame, text_col: str, width: int, percent: int) -> DataFrame:
+    """``a, b``: every set tied to the smallest one that has an equal part."""
+    rows = docs.count()
+    buckets = rows * 256 // BUCKET_PARTS + 16
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, parts, held, size = Sets(width), Parts(percent), [], 0
+        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64())
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            keys = np.concatenate([p for _, p in held])
+            owners = np.repeat(np.array([s for s, _ in held], np.int64), [len(p) for _, p in held])
+            keys, owners, a, b = ties(keys, owners)
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(len(a), kinds[0]), pa.nulls(len(a), kinds[1]), pa.array(a), pa.array(b)],
+                names=["bucket", "data", "a", "b"])
+            bucket = (keys >> np.uint64(32)) % np.uint64(buckets)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            used = np.flatnonzero(np.diff(cuts))
+            blobs = [keys[o].tobytes() + owners[o].tobytes()
+                     for o in (order[cuts[k]:cuts[k + 1]] for k in used)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(used), pa.array(blobs, kinds[1]), pa.nulls(len(used), kinds[2]),
+                 pa.nulls(len(used), kinds[3])], names=["bucket", "data", "a", "b"])
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                members = sets.of(text)
+                if len(members):
+                    held.append((identity(members), parts.of(members)))
+                    size += len(held[-1][1])
+                if size >= CHUNK_PARTS:
+                    yield from flush()
+                    held, size = [], 0
+        if held:
+            yield from flush()
+
+    def reduced(table: pa.Table) -> pa.Table:
+        keys, owners = [], []
+        for data in table.column("data").to_pylist():
+            both = np.frombuffer(data, np.uint64)
+            keys.append(both[:len(both) // 2])
+            owners.append(both[len(both) // 2:].view(np.int64))
+        _, _, a, b = ties(np.concatenate(keys), np.concatenate(owners))
+        return pa.table({"a": a, "b": b})
+
+    path = work_path(docs.sparkSession, "parts")
+    docs.where(F.col(text_col).isNotNull()).select(text_col).mapInArrow(
+        mapped, "bucket bigint, data binary, a bigint, b bigint").write.parquet(path)
+    made = docs.sparkSession.read.parquet(path)
+    met = made.where("bucket is not null").select("bucket", "data").groupBy("bucket").applyInArrow(
+        reduced, "a bigint, b bigint")
+    return made.where("a is not null").select("a", "b").unionByName(met)
+
+
+def verified_links(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int,
+                   percent: int) -> DataFrame:
     """``a, b``: links found in the units of ``wanted`` (stored: ``key, sid, units``)."""
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)
     rows = wanted.agg(F.sum(F.size("units"))).first()[0] or 0
     groups = rows // GROUP_SETS + 1
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = Sets(width, shared.value)
+        sets = Sets(width)
         for batch in batches:
             made = [sets.of(t) for t in batch.column(2).to_pylist()]
             right = [identity(s) == sid for s, sid in zip(made, batch.column(0).to_pylist(), strict=True)]
@@ -306,12 +339,10 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         df.write.parquet(f"{root}/{name}")
         return spark.read.parquet(f"{root}/{name}")
 
-    ranks = common_ranks(docs, text_col, width)
-    rows = stored(ordered_sets(docs, id_col, text_col, width, percent, ranks), "sets")
+    rows = stored(stored_sets(docs, id_col, text_col, width), "sets")
     key = F.coalesce(F.col("key").cast("bigint"), F.lit(_NO_ID))
-    sets = rows.where("n > 0").groupBy("sid").agg(F.min(key).alias("key"), F.first("prefix").alias("prefix"))
-    tied = components(candidate_edges(sets))
     holders = rows.where("n > 0").groupBy("sid").agg(F.min(key).alias("key"))
+    tied = components(candidate_edges(docs, text_col, width, percent))
     members = stored(tied.join(holders, tied["id"] == holders["sid"]).select("sid", "key", "component"), "members")
 
     # large candidate groups are cut into blocks that share a few leaders
@@ -327,12 +358,11 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     first = F.when(F.col("m").isNull(), F.array(unit())).when(
         leads, F.transform(all_blocks, lambda b: unit(b))).otherwise(F.array(unit(own)))
     wanted = stored(placed.select("key", "sid", first.alias("units")), "units-1")
-    links = stored(verified_links(docs, wanted, id_col, text_col, width, percent, ranks), "links-1")
+    links = stored(verified_links(docs, wanted, id_col, text_col, width, percent), "links-1")
     if not large.isEmpty():
-        labels = components(links)
-        judged = stored(
-            placed.where("m is not null").join(labels, placed["sid"] == labels["id"], "left").select(
-                "component", "sid", "key", "m", F.coalesce(labels["component"], placed["sid"]).alias("label")), "judged")
+        labels = components(links).select(F.col("id").alias("sid"), F.col("component").alias("label"))
+        judged = stored(placed.where("m is not null").join(labels, "sid", "left").select(
+            "component", "sid", "key", "m", F.coalesce("label", "sid").alias("label")), "judged")
         parts = judged.groupBy("component", "label").agg(F.count(F.lit(1)).alias("c"))
         main = parts.groupBy("component").agg(
             F.max_by("label", F.struct("c", "label")).alias("main"),
@@ -348,7 +378,7 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         second = stored(second, "units-2")
         if not second.isEmpty():
             links = links.unionByName(stored(
-                verified_links(docs, second, id_col, text_col, width, percent, ranks), "links-2"))
+                verified_links(docs, second, id_col, text_col, width, percent), "links-2"))
     linked = components(links)
     smallest = linked.join(holders, linked["id"] == holders["sid"]).groupBy("component").agg(
         F.min(F.when(F.col("key") != _NO_ID, F.col("key"))).alias("component_id"))
