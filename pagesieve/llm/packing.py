@@ -40,17 +40,22 @@ SIZES = (2048, 1024, 512, 256)
 CELL_DOCS = 1024
 STEP_TOKENS = 32 * 2048
 END = 1
-MAX_CACHED_WORDS = 500_000
+WORD_END = "</w>"
+MAX_CACHED_WORDS = 700_000
 
 Piece = tuple[int, int, int]  # item, start, length
 
 
+def _letters(word: bytes) -> bool:
+    return word.isalpha() or (not word.isascii() and word.decode("utf-8").isalpha())
+
+
 class WordTokens(dict):
     """Word (bytes between ASCII blanks) -> its ids as bytes; emptied when it has grown too far.
 
-    Ids are stored for words as they come without capitals and closing marks: the
-    tokenizer lower-cases A-Z and never joins letters with marks. A word that holds
-    the opening of a special token is taken as it is.
+    Words are tokenised without capitals and closing marks: the tokenizer lower-cases
+    A-Z and never joins letters with marks. A word that holds the opening of a special
+    token is taken as it is.
     """
 
     def __init__(self, path: str):
@@ -58,6 +63,9 @@ class WordTokens(dict):
         self._tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self._tokenizer.get_vocab_size() <= 65536 else "<u4")
         self._end = np.array([END], self.dtype).tobytes()
+        self._closing = np.zeros(self._tokenizer.get_vocab_size(), bool)  # ids that end a word
+        for token, number in self._tokenizer.get_vocab().items():
+            self._closing[number] = token.endswith(WORD_END)
 
     @staticmethod
     def parts(word: bytes) -> tuple[bytes, ...]:
@@ -65,28 +73,45 @@ class WordTokens(dict):
         if b"<|" in word:
             return (word,)
         low = word.lower()
-        core = low.rstrip(b".,!?;:")
-        return (core, low[len(core):]) if core != low and core.isalpha() else (low,)
+        core = low.rstrip(b".,!?;:#$%&*")
+        return (core, low[len(core):]) if core != low and _letters(core) else (low,)
 
     def learn(self, found: set[bytes]) -> None:
-        """Tokenise the words that are new, in one call."""
-        new = sorted({p for w in found if w not in self for p in self.parts(w)} - self.keys())
-        if not new:
-            return
-        made = self._tokenizer.encode([w.decode("utf-8") for w in new], is_pretokenized=True, add_special_tokens=False)
-        owner, ids = np.array(made.word_ids, np.int64), np.array(made.ids, self.dtype)
-        cuts = np.searchsorted(owner, np.arange(len(new) + 1))
-        self.update((w, ids[a:b].tobytes()) for w, a, b in zip(new, cuts, cuts[1:], strict=False))
+        """Tokenise the words that are new: those of letters alone as one text, cut after
+        closing ids, the others one by one in a single call."""
+        new = {p for w in found if w not in self for p in self.parts(w) if p not in self}
+        plain, others = [], []
+        for w in new:
+            (plain if _letters(w) else others).append(w)
+        if plain:
+            made = self._tokenizer.encode_batch_fast([b" ".join(plain).decode("utf-8")], add_special_tokens=False)[0]
+            ids = np.array(made.ids, self.dtype)
+            cuts = np.flatnonzero(self._closing[ids]) + 1
+            if len(cuts) == len(plain):
+                self._store(plain, ids, [0, *cuts.tolist()])
+            else:  # a letter's lower case is not one letter
+                others += plain
+        if others:
+            made = self._tokenizer.encode(
+                [w.decode("utf-8") for w in others], is_pretokenized=True, add_special_tokens=False)
+            cuts = np.searchsorted(np.array(made.word_ids, np.int64), np.arange(len(others) + 1))
+            self._store(others, np.array(made.ids, self.dtype), cuts.tolist())
+
+    def _store(self, words: list[bytes], ids: np.ndarray, cuts: list[int]) -> None:
+        data, width = ids.tobytes(), ids.itemsize
+        for word, a, b in zip(words, cuts, cuts[1:], strict=False):
+            self[word] = data[a * width:b * width]
 
     def __missing__(self, word: bytes) -> bytes:
-        return b"".join([self[p] for p in self.parts(word)])
+        value = self[word] = b"".join([self[p] for p in self.parts(word)])
+        return value
 
     def encode(self, texts: Sequence[str | None]) -> list[np.ndarray]:
         """Ids of texts, the end mark included."""
         if len(self) > MAX_CACHED_WORDS:
             self.clear()
         found = [(t or "").encode("utf-8").split() for t in texts]
-        self.learn(set().union(*found))
+        self.learn(set(chain.from_iterable(found)))
         return [np.frombuffer(b"".join(map(self.__getitem__, w)) + self._end, self.dtype) for w in found]
 
 
