@@ -9,10 +9,12 @@ Every text is the set of its word n-grams, as 64-bit numbers in ascending order.
    set is known by the hash of its members in each part, and sets with an equal part
    are tied to the smallest of them. A part holds several n-grams, so sharing a line
    or a passage ties nobody. Sizes are classed so that linked sets are in the same
-   class or in neighbouring ones. Parts that are empty in both sets say nothing:
-   some more parts than ``k + 1`` are made, and sets with more empty parts than that
-   are tied by empty parts, too. Equal parts are tied within tasks first, so a
-   part that a third of all sets share is one entry per task.
+   class or in neighbouring ones. The most frequent n-grams (a common line in short
+   texts) are left out of the parts: without them two sets differ in no more members.
+   Parts that are empty in both sets say nothing. Some more parts than ``k + 1`` are
+   made, and a set with more empty parts than that is known by parts with all its
+   n-grams as well, and if those are empty, by their being so. Equal parts are tied
+   within tasks first, so a part that a third of all sets share is one entry per task.
 3. Each candidate set is sent whole, once, to the task of its candidate group. There
    the sets are stored in a prefix tree and each walks it: members shared by
    many sets are compared once, and a subtree is left when what remains of either
@@ -45,6 +47,10 @@ from .components import components
 
 HASH_BITS = 58
 CHUNK_PARTS = 2_000_000
+CHUNK_MEMBERS = 1_000_000
+COMMON_SLOTS = 1 << 22
+COMMON_MEMBERS = 1 << 18
+COMMON_IN_CHUNK = 3
 BUCKET_PARTS = 500_000
 BLOCK = 128
 LEADERS = 8
@@ -56,7 +62,7 @@ class Sets:
     """Texts to n-gram sets; one per task."""
 
     def __init__(self, width: int):
-        self.width, self._words = width, W.WordHashes()
+        self.width, self._words = width, W.word_hashes()
 
     def of(self, text: str | None) -> np.ndarray:
         """Ascending numbers below 2^58."""
@@ -71,8 +77,9 @@ def least_overlap(n: int, m: int, percent: int) -> int:
 class Parts:
     """Hashes of a set's parts; one per task."""
 
-    def __init__(self, percent: int):
+    def __init__(self, percent: int, common: bytes):
         self.percent = percent
+        self._common = np.unpackbits(np.frombuffer(common, np.uint8)).astype(bool)
         self._starts = [1]  # of size classes
         self._edges: dict[int, tuple[np.ndarray, int]] = {}
 
@@ -95,18 +102,20 @@ class Parts:
 
     def of(self, members: np.ndarray) -> np.ndarray:
         """All part hashes of a set that is not empty: as the smaller and as the larger side."""
-        hashed, own, out = W.mix(members), self.size_class(len(members)), []
+        own, out = self.size_class(len(members)), []
+        rare = members[~self._common[members & np.uint64(COMMON_SLOTS - 1)]]
         for c in (own, own - 1) if own else (own,):
             edges, spare = self._cut(c)
-            at = np.searchsorted(members, edges)
-            filled = np.flatnonzero(np.diff(at, append=len(members)))
-            sums = np.add.reduceat(hashed, at[filled])
-            salt = W.mix((np.arange(len(edges), dtype=np.uint64) << np.uint64(8)) ^ np.uint64(c << 40))
-            out.append(W.mix(sums ^ salt[filled]))
-            if len(edges) - len(filled) > spare:
-                empty = np.ones(len(edges), bool)
-                empty[filled] = False
-                out.append(W.mix(~salt[empty]))
+            for turn, used in enumerate((rare, members)):
+                at = np.searchsorted(used, edges)
+                filled = np.diff(at, append=len(used)) > 0
+                salt = W.mix((np.arange(len(edges), dtype=np.uint64) << np.uint64(8)) ^ np.uint64(c << 40 | turn))
+                if filled.any():
+                    out.append(W.mix(np.add.reduceat(W.mix(used), at[filled]) ^ salt[filled]))
+                if len(edges) - filled.sum() <= spare:
+                    break
+            else:
+                out.append(W.mix(~salt[~filled]))
         return np.concatenate(out)
 
 
@@ -202,19 +211,70 @@ def tree_links(sets: Sequence[np.ndarray], percent: int) -> list[tuple[int, int]
     return links
 
 
-def stored_sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """``key, n, sid``: size and identity of every text's set."""
+def stored_sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> tuple[DataFrame, DataFrame]:
+    """``key, n, sid`` of every text's set, and ``member, n``: how many sets have a member.
+
+    Counts cover all texts; a member met once or twice in a chunk of texts is left out
+    of the chunk's counts.
+    """
     id_type = docs.schema[id_col].dataType.simpleString()
+    names = ["key", "n", "sid", "member"]
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = Sets(width)
+        sets, held, size = Sets(width), [], 0
+
+        def counts(id_kind: pa.DataType) -> pa.RecordBatch:
+            values, n = np.unique(np.concatenate(held), return_counts=True)
+            many = n >= COMMON_IN_CHUNK
+            k = int(many.sum())
+            return pa.RecordBatch.from_arrays(
+                [pa.nulls(k, id_kind), pa.array(n[many]), pa.nulls(k, pa.int64()),
+                 pa.array(W.as_signed(values[many]))], names=names)
+
         for batch in batches:
-            found = [(len(s), identity(s)) for s in map(sets.of, batch.column(1).to_pylist())]
-            sizes, ids = zip(*found, strict=True) if found else ((), ())
+            sizes, ids = [], []
+            for text in batch.column(1).to_pylist():
+                s = sets.of(text)
+                sizes.append(len(s))
+                ids.append(identity(s))
+                held.append(s)
+                size += len(s)
+                if size >= CHUNK_MEMBERS:
+                    yield counts(batch.column(0).type)
+                    held, size = [], 0
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64())], names=["key", "n", "sid"])
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()),
+                 pa.nulls(batch.num_rows, pa.int64())], names=names)
+        if held:
+            yield counts(batch.column(0).type)
+
+    path = work_path(docs.sparkSession, "sets")
+    docs.select(id_col, text_col).mapInArrow(
+        made, f"key {id_type}, n bigint, sid bigint, member bigint").write.parquet(path)
+    rows = docs.sparkSession.read.parquet(path)
+    return rows.where("member is null").drop("member"), rows.where("member is not null").groupBy("member").agg(
+        F.sum("n").alias("n"))
+
 
-    return docs.select(id_col, text_col).mapInArrow(made, f"key {id_type}, n bigint, sid bigint")
+def common_members(counts: DataFrame) -> bytes:
+    """A bit table of fixed size: the most frequent members, at most ``COMMON_MEMBERS``.
+
+    Which ones are in it decides how much work is done, not what is found.
+    """
+    path = work_path(counts.sparkSession, "common")
+    counts.withColumn("rank", F.floor(F.log2("n")).cast("int")).write.parquet(path)
+    counts = counts.sparkSession.read.parquet(path)
+    least, total = 64, 0
+    for row in sorted(counts.groupBy("rank").count().collect(), reverse=True):  # at most 64 rows
+        total += row["count"]
+        if total > COMMON_MEMBERS:
+            break
+        least = row["rank"]
+    slots = counts.where(F.col("rank") >= least).select(
+        F.expr(f"member & {COMMON_SLOTS - 1}").alias("slot")).distinct().toArrow()  # at most COMMON_MEMBERS rows
+    table = np.zeros(COMMON_SLOTS, bool)
+    table[slots.column("slot").to_numpy()] = True
+    return np.packbits(table).tobytes()
 
 
 def identity(members: np.ndarray) -> int:
@@ -234,13 +294,14 @@ def ties(parts: np.ndarray, sids: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return parts[first], sids[first], pairs[0], pairs[1]
 
 
-def candidate_edges(docs: DataFrame, text_col: str, width: int, percent: int) -> DataFrame:
+def candidate_edges(docs: DataFrame, text_col: str, width: int, percent: int, common: bytes) -> DataFrame:
     """``a, b``: every set tied to the smallest one that has an equal part."""
     rows = docs.count()
+    shared = docs.sparkSession.sparkContext.broadcast(common)
     buckets = rows * 256 // BUCKET_PARTS + 16
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, parts, held, size = Sets(width), Parts(percent), [], 0
+        sets, parts, held, size = Sets(width), Parts(percent, shared.value), [], 0
         kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64())
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -339,10 +400,10 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         df.write.parquet(f"{root}/{name}")
         return spark.read.parquet(f"{root}/{name}")
 
-    rows = stored(stored_sets(docs, id_col, text_col, width), "sets")
+    rows, counts = stored_sets(docs, id_col, text_col, width)
     key = F.coalesce(F.col("key").cast("bigint"), F.lit(_NO_ID))
     holders = rows.where("n > 0").groupBy("sid").agg(F.min(key).alias("key"))
-    tied = components(candidate_edges(docs, text_col, width, percent))
+    tied = components(candidate_edges(docs, text_col, width, percent, common_members(counts)))
     members = stored(tied.join(holders, tied["id"] == holders["sid"]).select("sid", "key", "component"), "members")
 
     # large candidate groups are cut into blocks that share a few leaders

@@ -7,10 +7,12 @@ alone, so UTF-8 bytes are cut without a regular expression.
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 import xxhash
 
-MAX_CACHED_WORDS = 400_000
+MAX_CACHED_WORDS = 700_000
 _EMPTY = np.zeros(0, np.uint64)
 
 
@@ -31,6 +33,12 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, found), np.uint64, len(found))
 
 
+@cache
+def word_hashes() -> WordHashes:
+    """One table per worker process, kept from task to task."""
+    return WordHashes()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Scramble 64-bit numbers: multiply and shift, reversible."""
     x = x ^ (x >> np.uint64(32))
