@@ -46,15 +46,15 @@ from . import words as W
 from .components import components
 
 HASH_BITS = 58
-CHUNK_PARTS = 2_000_000
-CHUNK_MEMBERS = 1_000_000
+CHUNK_PARTS = 500_000
+CHUNK_MEMBERS = 500_000
 COMMON_SLOTS = 1 << 22
 COMMON_MEMBERS = 1 << 18
-COMMON_IN_CHUNK = 3
-BUCKET_PARTS = 500_000
+COMMON_IN_CHUNK = 2
+BUCKET_PARTS = 250_000
 BLOCK = 128
 LEADERS = 8
-GROUP_SETS = 256
+GROUP_SETS = 128
 _NO_ID = -(1 << 63)
 
 
@@ -214,7 +214,7 @@ def tree_links(sets: Sequence[np.ndarray], percent: int) -> list[tuple[int, int]
 def stored_sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> tuple[DataFrame, DataFrame]:
     """``key, n, sid`` of every text's set, and ``member, n``: how many sets have a member.
 
-    Counts cover all texts; a member met once or twice in a chunk of texts is left out
+    Counts cover all texts; a member met once in a chunk of texts is left out
     of the chunk's counts.
     """
     id_type = docs.schema[id_col].dataType.simpleString()

@@ -12,7 +12,7 @@ from functools import cache
 import numpy as np
 import xxhash
 
-MAX_CACHED_WORDS = 700_000
+MAX_CACHED_WORDS = 250_000
 _EMPTY = np.zeros(0, np.uint64)
 
 
