@@ -85,16 +85,16 @@ def share_out(nodes: DataFrame, parents: Sequence[str], name: str, given: str, o
     """
     order = Window.partitionBy(*parents).orderBy(F.col("capacity") / F.col("weight"), name)
     before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
-    level = (F.col(given) - F.coalesce(F.sum("capacity").over(before), F.lit(0))) / F.sum("weight").over(after)
-    weighted = nodes.where(F.col("weight") > 0).withColumn("level", level)
-    full = F.col("level") * F.col("weight") >= F.col("capacity")
-    first = F.min(F.when(~full, F.struct(
-        (F.col("capacity") / F.col("weight")).alias("ratio"), F.col(name).alias("name"), F.col("level")))).over(
+    rest = F.col(given) - F.coalesce(F.sum("capacity").over(before), F.lit(0))
+    weighted = nodes.where(F.col("weight") > 0).withColumns({
+        "ratio": F.col("capacity") / F.col("weight"), "rest": rest, "heavy": F.sum("weight").over(after)})
+    full = F.col("rest") * F.col("weight") >= F.col("capacity") * F.col("heavy")
+    first = F.min(F.when(~full, F.struct("ratio", F.col(name).alias("name"), "rest", "heavy"))).over(
         Window.partitionBy(*parents))
-    share = F.when(F.col("first").isNull() | (F.col("capacity") / F.col("weight") < F.col("first.ratio")),
-                   F.col("capacity")).otherwise(F.floor(F.col("first.level") * F.col("weight")))
+    share = F.when(F.col("first").isNull() | (F.col("ratio") < F.col("first.ratio")), F.col("capacity")).otherwise(
+        F.expr("first.rest * weight div first.heavy"))
     return weighted.withColumn("first", first).withColumn(
-        out, F.least(share, F.col("capacity")).cast("bigint")).drop("first", "level")
+        out, F.least(share, F.col("capacity")).cast("bigint")).drop("first", "ratio", "rest", "heavy")
 
 
 def leaf_budgets(leaves: DataFrame, mix: Mix) -> DataFrame:

@@ -47,7 +47,11 @@ Piece = tuple[int, int, int]  # item, start, length
 
 
 def _letters(word: bytes) -> bool:
-    return word.isalpha() or (not word.isascii() and word.decode("utf-8").isalpha())
+    """Whether a word is of letters alone, before and after lower-casing."""
+    if word.isascii():
+        return word.isalpha()
+    text = word.decode("utf-8")
+    return text.isalpha() and text.lower().isalpha()
 
 
 class WordTokens(dict):

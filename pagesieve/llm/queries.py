@@ -121,18 +121,18 @@ def _level(depth: int) -> str:
       {_weight(name, MIX.weights[depth], MIX.default_weights[depth])} AS weight
     FROM leaf GROUP BY {keys}),
   level{depth} AS (
-    SELECT *, (given{depth} - coalesce(sum(capacity) OVER (PARTITION BY {by} ORDER BY capacity / weight, {name}
-        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
-      / sum(weight) OVER (PARTITION BY {by} ORDER BY capacity / weight, {name}
-        ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::DOUBLE AS level
+    SELECT *, capacity / weight AS ratio, (given{depth} - coalesce(sum(capacity) OVER (PARTITION BY {by}
+        ORDER BY capacity / weight, {name} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS rest,
+      sum(weight) OVER (PARTITION BY {by} ORDER BY capacity / weight, {name}
+        ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::BIGINT AS heavy
     FROM node{depth} {join}),
   first{depth} AS (
-    SELECT *, min(CASE WHEN level * weight < capacity THEN capacity / weight END) OVER (PARTITION BY {by}) AS ratio,
-      arg_min(level, capacity / weight) FILTER (level * weight < capacity) OVER (PARTITION BY {by}) AS rest
+    SELECT *, min({{'ratio': ratio, 'name': {name}, 'rest': rest, 'heavy': heavy}})
+        FILTER (rest * weight < capacity * heavy) OVER (PARTITION BY {by}) AS first
     FROM level{depth}),
   given{depth + 1} AS (
-    SELECT {keys}, CASE WHEN ratio IS NULL OR capacity / weight < ratio THEN capacity
-      ELSE least(floor(rest * weight), capacity) END::BIGINT AS given{depth + 1}
+    SELECT {keys}, CASE WHEN first IS NULL OR ratio < first.ratio THEN capacity
+      ELSE least(first.rest * weight // first.heavy, capacity) END::BIGINT AS given{depth + 1}
     FROM first{depth})"""
 
 
