@@ -207,8 +207,7 @@ prof AS (
   SELECT lang, gram, CAST(round(ln((c + 1) / space) * 1000000) AS BIGINT)
            - CAST(round(ln(1.0 / space) * 1000000) AS BIGINT) AS weight,
          CAST(round(ln(1.0 / space) * 1000000) AS BIGINT) AS default_weight
-  FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY c DESC, gram) AS r FROM cnt) JOIN space USING (lang)
-  WHERE r <= 2000)"""
+  FROM cnt JOIN space USING (lang))"""
 
 
 def scores(gram_cte: str, name: str) -> str:
@@ -425,7 +424,7 @@ WHERE rn = 1 AND c.dominant = 'en'""",
         "final_document_raw": _final("raw"),
         "jsonl_roundtrip": """SELECT page_id, url, html, CAST(NULL AS VARCHAR) AS license FROM pages""",
         "shard_roundtrip": """SELECT fmt, page_id, url, md5(html) AS html_md5
-FROM pages, (SELECT unnest(['parquet', 'jsonl.gz', 'jsonl.zst']) AS fmt)""",
+FROM pages, (SELECT unnest(['parquet', 'jsonl.gz']) AS fmt)""",
         "stream_ingest": _final("raw"),
         "stream_resume": _final("raw"),
     }

@@ -1,30 +1,28 @@
 """Language identification with a character-trigram model kept as a table.
 
-Training counts trigrams per language and keeps the most frequent ones of each
-(Cavnar and Trenkle 1994), with Laplace-smoothed log probabilities (a
-multinomial model). Weights are integers, millionths of a nat, so sums do not
+Training counts all trigrams per language, with Laplace-smoothed log
+probabilities (a multinomial model). Weights are integers, millionths of a nat, so sums do not
 depend on the order of addition.
 
 Prediction explodes a text's trigrams, looks each up in the profile and sums
 one column per language. Only (id, sums) rows are shuffled, and sums are
 combined before the shuffle, so neither a common trigram nor a long text makes
-a hot task. The profile has at most ``max_grams`` rows per language.
+a hot task. A profile of up to ``BROADCAST_BYTES`` is broadcast, a larger one joined
+with salt.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from .skew import SALTS, lookup_join
+from .skew import lookup_join
 
 SCALE = 1_000_000
-MAX_GRAMS = 2_000
-MAX_LANGUAGES = 1_000
-BROADCAST_BYTES = 512 * 1024 * 1024  # a profile row: a trigram and one number per language
+BROADCAST_BYTES = 100 * 1024 * 1024  # a profile row: a trigram and one number per language
 
 
 def normalized(text: Column) -> Column:
@@ -43,8 +41,7 @@ def clean_label(label: Column) -> Column:
     return F.replace(label, F.lit(P.LABEL_PREFIX), F.lit(""))
 
 
-def train_profile(docs: DataFrame, text_col: str, lang_col: str,
-                  max_grams: int = MAX_GRAMS) -> DataFrame:
+def train_profile(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     """Labelled texts -> ``(lang, gram, weight, default_weight)``.
 
     ``weight`` is what a trigram adds over ``default_weight``, the share of a
@@ -61,18 +58,13 @@ def train_profile(docs: DataFrame, text_col: str, lang_col: str,
         .agg(F.count(F.lit(1))).scalar()
     )
     totals = counts.groupBy("lang").agg(F.sum("c").alias("total"))  # one row per language
-    # a language's best are among the best of its parts, so no task ranks a whole language
-    best = counts.withColumn("part", F.pmod(F.xxhash64("gram"), F.lit(SALTS)).cast("int"))
-    for within in (["lang", "part"], ["lang"]):
-        order = Window.partitionBy(*within).orderBy(F.desc("c"), "gram")
-        best = best.withColumn("r", F.row_number().over(order)).where(F.col("r") <= max_grams)
 
     def milli(p):
         return F.round(F.log(p) * SCALE).cast("bigint")
 
     space = F.col("total") + vocabulary
     return (
-        best.join(totals, "lang")
+        counts.join(totals, "lang")
         .select(
             "lang", "gram",
             milli((F.col("c") + 1) / space).alias("weight"),
@@ -84,7 +76,7 @@ def train_profile(docs: DataFrame, text_col: str, lang_col: str,
 
 def store_profile(profile: DataFrame, path: str) -> DataFrame:
     """Write the model and read it back, so that training runs once."""
-    profile.coalesce(1).write.mode("overwrite").parquet(path)
+    profile.write.mode("overwrite").parquet(path)
     return profile.sparkSession.read.parquet(path)
 
 
@@ -92,10 +84,8 @@ def profile_languages(profile: DataFrame) -> list[tuple[str, int, int]]:
     """``(code, default_weight, trigrams)`` per language, in code order: the model's label list."""
     rows = (
         profile.groupBy("lang").agg(F.first("default_weight").alias("w"), F.count(F.lit(1)).alias("n"))
-        .orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
+        .orderBy("lang").collect()
     )
-    if len(rows) > MAX_LANGUAGES:
-        raise ValueError(f"a profile holds at most {MAX_LANGUAGES} languages")
     return [(r["lang"], r["w"], r["n"]) for r in rows]
 
 

@@ -20,7 +20,7 @@ from ..operators.extract import (
 )
 from ..operators.filters import (
     drop_failed_archives, filter_extracted, flag_too_short,
-    is_html_response, is_metadata, size_guard,
+    is_html_response, is_metadata,
 )
 from ..operators.langid import filter_predicted_language, predict_language
 from ..operators.pairing import carry_pair, keyed_pair
@@ -41,7 +41,6 @@ class Settings:
     content_match: str = "exact"       # or 'prefix'
     json: str = "braces"               # or 'any'
     fail_mode: str = "record"          # bad annotation: drop it, or its 'archive'
-    max_bytes: int | None = None       # pages over this are not extracted
     max_repeats: int | None = None     # drop text lines seen more often than this
     body_gate: bool = False            # language model on the extracted text too
     min_chars: int = 400
@@ -175,9 +174,8 @@ def classified(pages: DataFrame, profile: DataFrame, target: str) -> DataFrame:
 def with_text(pages: DataFrame, settings: Settings, profile: DataFrame | None = None,
               stage: str | None = None) -> DataFrame:
     """Add the text-mode columns; pages without text are dropped."""
-    guarded = pages if settings.max_bytes is None else size_guard(pages, settings.max_bytes)
     parsed = page_metadata(
-        guarded.withColumn("view", byte_view(F.col("payload"))), "view", "url"
+        pages.withColumn("view", byte_view(F.col("payload"))), "view", "url"
     ).drop("view").withColumn("html", decode_text(F.col("payload"))).drop("payload")
     texts = filter_extracted(main_text(main_text(parsed, "html", "raw_text"), "html", "text",
                                        formatting=True)).drop("html")

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "append", compression: str | None = None) -> None:
@@ -23,121 +22,14 @@ def shard_id(run_time: str, batch_id: int) -> str:
     return f"shard-{stamp}-{batch_id:09d}"
 
 
-def register_jsonl_zst(spark: SparkSession) -> None:
-    """Register the ``jsonl_zst`` sink: one ``value`` column of JSON lines, zstd frames.
-
-    Spark's own JSON writer has zstd only with native Hadoop codecs. Every task
-    writes its rows to a file of its own, under a name no other attempt uses;
-    the files of committed tasks alone stay.
-    """
-    from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
-
-    class Written(WriterCommitMessage):
-        def __init__(self, name):
-            self.name = name
-
-    class Writer(DataSourceArrowWriter):
-        def __init__(self, path, overwrite):
-            self.path = path
-            self.overwrite = overwrite
-
-        def _folder(self):
-            from pyarrow import fs
-            return fs.FileSystem.from_uri(self.path) if "://" in self.path else (
-                fs.LocalFileSystem(), self.path.removeprefix("file:"))
-
-        def write(self, batches):
-            import uuid
-
-            disk, folder = self._folder()
-            disk.create_dir(folder, recursive=True)
-            name = f"part-{uuid.uuid4().hex}.jsonl.zst"
-            rows = 0
-            with disk.open_output_stream(f"{folder}/{name}", compression="zstd") as out:
-                for batch in batches:
-                    for line in batch.column(0):
-                        out.write(line.as_buffer())
-                        out.write(b"\n")
-                    rows += batch.num_rows
-            if rows == 0:
-                disk.delete_file(f"{folder}/{name}")
-                return Written(None)
-            return Written(name)
-
-        def _keep_only(self, names):
-            from pyarrow import fs
-            disk, folder = self._folder()
-            for info in disk.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
-                if info.base_name.endswith(".jsonl.zst") and info.base_name not in names:
-                    disk.delete_file(info.path)
-
-        def commit(self, messages):
-            if self.overwrite:
-                self._keep_only({m.name for m in messages if m is not None and m.name})
-
-        def abort(self, messages):
-            disk, folder = self._folder()
-            for m in messages:
-                if m is not None and m.name:
-                    disk.delete_file(f"{folder}/{m.name}")
-
-    class JsonlZst(DataSource):
-        @classmethod
-        def name(cls):
-            return "jsonl_zst"
-
-        def schema(self):
-            return "value STRING"
-
-        def writer(self, schema, overwrite):
-            return Writer(self.options["path"], overwrite)
-
-    spark.dataSource.register(JsonlZst)
-
-
 def write_shards(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """Compressed shards of documents, one folder per call, written in parallel.
 
-    ``parquet`` (zstd), ``jsonl.gz`` or ``jsonl.zst``.
+    ``parquet`` (zstd) or ``jsonl.gz``.
     """
     if fmt == "parquet":
         df.write.mode(mode).option("compression", "zstd").parquet(path)
     elif fmt == "jsonl.gz":
         write_jsonl(df, path, mode, "gzip")
-    elif fmt == "jsonl.zst":
-        register_jsonl_zst(df.sparkSession)
-        line = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
-        df.select(line.alias("value")).write.format("jsonl_zst").mode(mode).option("path", path).save()
     else:
-        raise ValueError("fmt must be 'parquet', 'jsonl.gz' or 'jsonl.zst'")
-
-
-def read_jsonl_zst(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Read what ``write_shards(..., "jsonl.zst")`` wrote; one task per file, line by line."""
-    def lines(batches):
-        import io
-
-        import pyarrow as pa
-        from pyarrow import fs
-
-        for batch in batches:
-            for file in batch.column(0).to_pylist():
-                if "://" in file:
-                    disk, name = fs.FileSystem.from_uri(file)
-                else:
-                    disk, name = fs.LocalFileSystem(), file.removeprefix("file:")
-                with disk.open_input_stream(name, compression="zstd") as src:
-                    chunk = []
-                    for line in io.BufferedReader(src, 1 << 20):
-                        chunk.append(line.decode("utf-8").rstrip("\n"))
-                        if len(chunk) == 1000:
-                            yield pa.RecordBatch.from_arrays([pa.array(chunk, pa.string())], ["value"])
-                            chunk = []
-                    yield pa.RecordBatch.from_arrays([pa.array(chunk, pa.string())], ["value"])
-
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.jsonl.zst").load(path)
-        .select("path")
-    )
-    rows = files.mapInArrow(lines, "value STRING")
-    return rows.select(F.from_json("value", schema).alias("d")).select("d.*")
+        raise ValueError("fmt must be 'parquet' or 'jsonl.gz'")

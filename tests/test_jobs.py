@@ -2,7 +2,6 @@ import json
 import os
 
 import pytest
-import zstandard
 from pyspark.sql import functions as F
 
 from pagesieve.operators import langid
@@ -120,7 +119,6 @@ def test_text_options(spark, records, profile, tmp_path):
         run.n = getattr(run, "n", 0) + 1
         return refine(records, Settings(target="fr", mode="text", **options), profile, stage=str(tmp_path / f"s{run.n}"))
 
-    assert run(max_bytes=400).count() == 1  # the short page
     assert run(body_gate=True).count() == 5
     any_json = run(json="any").select(F.to_json("metadata").alias("m"))
     assert all(json.loads(r["m"])["fetchTimeMs"] == 3 for r in any_json.collect())
@@ -180,25 +178,16 @@ def test_ledger_batches_replace_themselves(spark, tmp_path):
     assert sorted((r["warc_path"], r["batch_id"]) for r in L.read_ledger(spark, path).collect()) == [("a", 0), ("a", 1)]
 
 
-@pytest.mark.parametrize("fmt", ["jsonl.gz", "jsonl.zst"])
-def test_json_lines_keep_nulls_and_characters(spark, tmp_path, fmt):
+def test_json_lines_keep_nulls_and_characters(spark, tmp_path):
     import gzip
-    import io
     df = spark.createDataFrame([(1, "日本 \"x\"\n", None), (2, "é", "y")], "n int, t string, u string").coalesce(1)
     path = str(tmp_path / "out")
-    sinks.write_shards(df, path, fmt)
+    sinks.write_shards(df, path, "jsonl.gz")
     file, = (f for f in os.listdir(path) if f.startswith("part-"))
-    data = open(f"{path}/{file}", "rb").read()
-    if fmt == "jsonl.zst":
-        data = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(data)).read()
-        assert sinks.read_jsonl_zst(spark, path, df.schema).orderBy("n").collect() == df.collect()
-        sinks.write_shards(df.where("n = 2"), path, fmt, mode="append")
-        assert sinks.read_jsonl_zst(spark, path, df.schema).count() == 3
-        sinks.write_shards(df.where("n = 2"), path, fmt)
-        assert sinks.read_jsonl_zst(spark, path, df.schema).count() == 1
-    else:
-        data = gzip.decompress(data)
+    data = gzip.decompress(open(f"{path}/{file}", "rb").read())
     assert data.decode().splitlines() == ['{"n":1,"t":"日本 \\"x\\"\\n","u":null}', '{"n":2,"t":"é","u":"y"}']
+    sinks.write_shards(df.where("n = 2"), path, "jsonl.gz", mode="append")
+    assert spark.read.schema(df.schema).json(path).count() == 3
 
 
 def test_shard_ids_sort_by_time(spark):

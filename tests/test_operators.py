@@ -109,7 +109,7 @@ def grams(text):
     return [s[i:i + 3] for i in range(len(s) - 2)]
 
 
-def brute_profile(texts, keep):
+def brute_profile(texts):
     counts = defaultdict(Counter)
     for lang, text in texts:
         counts[lang.replace("__label__", "")].update(grams(text))
@@ -118,8 +118,7 @@ def brute_profile(texts, keep):
     for lang, c in counts.items():
         space = sum(c.values()) + vocabulary
         rest = round(math.log(1 / space) * 1e6)
-        best = sorted(c.items(), key=lambda x: (-x[1], x[0]))[:keep]
-        out[lang] = (rest, {g: round(math.log((n + 1) / space) * 1e6) - rest for g, n in best})
+        out[lang] = (rest, {g: round(math.log((n + 1) / space) * 1e6) - rest for g, n in c.items()})
     return out
 
 
@@ -134,18 +133,18 @@ def brute_scores(profile, text):
 @pytest.fixture(scope="module")
 def profile(spark, tmp_path_factory):
     df = spark.createDataFrame(TEXTS, "lang string, text string")
-    return langid.store_profile(langid.train_profile(df, "text", "lang", 20),
+    return langid.store_profile(langid.train_profile(df, "text", "lang"),
                                 str(tmp_path_factory.mktemp("model") / "profile"))
 
 
 def test_profile(spark, profile):
-    want = brute_profile(TEXTS, 20)
+    want = brute_profile(TEXTS)
     got = {(r["lang"], r["gram"]): (r["weight"], r["default_weight"]) for r in profile.collect()}
     assert got == {(lang, g): (w, rest) for lang, (rest, ws) in want.items() for g, w in ws.items()}
 
 
 def test_scores(spark, profile):
-    want = brute_profile(TEXTS, 20)
+    want = brute_profile(TEXTS)
     texts = ["the king", "le roi et la maison", "Garten!", "zzz", "x", "12 34", ""]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
     got = {r["id"]: r["languages"] for r in langid.score_languages(df, ["id"], "text", profile).collect()}
