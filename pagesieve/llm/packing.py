@@ -125,7 +125,7 @@ def word_tokens(path: str) -> WordTokens:
     return WordTokens(path)
 
 
-def batches_of(texts: Sequence[str | None], size: int = 1_000_000) -> Iterator[Sequence[str | None]]:
+def batches_of(texts: Sequence[str | None], size: int = 3_000_000) -> Iterator[Sequence[str | None]]:
     """Consecutive texts of about ``size`` characters together."""
     start = total = 0
     for i, text in enumerate(texts):
