@@ -15,6 +15,10 @@ Every text is the set of its word n-grams, as 64-bit numbers in ascending order.
    made, and a set with more empty parts than that is known by parts with all its
    n-grams as well, and if those are empty, by their being so. Equal parts are tied
    within tasks first, so a part that a third of all sets share is one entry per task.
+   As at most ``k`` parts differ, a set that is linked has as many equal parts as there
+   are parts beyond ``k``, less its empty ones. A set that meets fewer, with whomever,
+   is linked with nothing and goes. It may have held a group together, so what is left
+   of large groups is tied once more.
 3. Each candidate set is sent whole, once, to the task of its candidate group. There
    the sets are stored in a prefix tree and each walks it: members shared by
    many sets are compared once, and a subtree is left when what remains of either
@@ -94,29 +98,37 @@ class Parts:
             self.size_class(self._starts[-1] if c + 1 >= len(self._starts) else 1)
             n = self._starts[c + 1] - 1
             k = (100 - self.percent) * (n + n * 100 // self.percent) // (100 + self.percent)
-            spare = 3 + (k + 1) // 32
+            spare = 3 + (k + 1) // 10
             m = k + 1 + spare
             edges = np.array([i * (1 << HASH_BITS) // m for i in range(m)], np.uint64)
             self._edges[c] = (edges, spare)
         return self._edges[c]
 
-    def of(self, members: np.ndarray) -> np.ndarray:
-        """All part hashes of a set that is not empty: as the smaller and as the larger side."""
-        own, out = self.size_class(len(members)), []
+    def of(self, members: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict[int, int]]:
+        """All part hashes of a set that is not empty: as the smaller and as the larger side.
+
+        Also the view each belongs to, and how many equal parts a link needs in a view.
+        """
+        own, out, views, needs = self.size_class(len(members)), [], [], {}
         rare = members[~self._common[members & np.uint64(COMMON_SLOTS - 1)]]
-        for c in (own, own - 1) if own else (own,):
+        for larger, c in enumerate((own, own - 1) if own else (own,)):
             edges, spare = self._cut(c)
             for turn, used in enumerate((rare, members)):
                 at = np.searchsorted(used, edges)
                 filled = np.diff(at, append=len(used)) > 0
                 salt = W.mix((np.arange(len(edges), dtype=np.uint64) << np.uint64(8)) ^ np.uint64(c << 40 | turn))
+                empty = len(edges) - int(filled.sum())
                 if filled.any():
                     out.append(W.mix(np.add.reduceat(W.mix(used), at[filled]) ^ salt[filled]))
-                if len(edges) - filled.sum() <= spare:
+                    views.append(np.full(len(out[-1]), 2 * larger + turn, np.uint8))
+                    needs[2 * larger + turn] = max(1, 1 + spare - empty)
+                if empty <= spare:
                     break
             else:
                 out.append(W.mix(~salt[~filled]))
-        return np.concatenate(out)
+                views.append(np.full(len(out[-1]), 2 * larger + 1, np.uint8))
+                needs[2 * larger + 1] = 1
+        return np.concatenate(out), np.concatenate(views), needs
 
 
 class _Node:
@@ -283,50 +295,80 @@ def identity(members: np.ndarray) -> int:
     return int(W.as_signed(W.mix(np.array([h], np.uint64) ^ np.uint64(len(members))))[0])
 
 
-def ties(parts: np.ndarray, sids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct parts with their smallest set, and ``(set, smallest set)`` where the two differ."""
+def distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct ``(a, b)`` and how often each is there."""
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    at = np.flatnonzero(new)
+    return a[at], b[at], np.diff(at, append=len(a))
+
+
+def ties(parts: np.ndarray, sids: np.ndarray, views: np.ndarray) -> tuple[tuple, tuple, tuple]:
+    """Distinct parts with their smallest set and its view; ``(set, smallest set)`` where the two
+    differ; ``(set, view, parts that another set has too)``."""
     order = np.lexsort((sids, parts))
-    parts, sids = parts[order], sids[order]
-    first = np.concatenate(([True], parts[1:] != parts[:-1])) if len(parts) else np.zeros(0, bool)
-    low = sids[first][np.cumsum(first) - 1] if len(parts) else sids
+    parts, sids, views = parts[order], sids[order], views[order]
+    new = np.ones(len(parts), bool)  # copies have the same set
+    new[1:] = (parts[1:] != parts[:-1]) | (sids[1:] != sids[:-1])
+    parts, sids, views = parts[new], sids[new], views[new]
+    first = np.ones(len(parts), bool)
+    first[1:] = parts[1:] != parts[:-1]
+    group = np.cumsum(first) - 1
+    low = sids[first][group]
     tied = low != sids
-    pairs = np.unique(np.stack([sids[tied], low[tied]]), axis=1)
-    return parts[first], sids[first], pairs[0], pairs[1]
+    met = np.bincount(group, minlength=1)[group] > 1
+    return ((parts[first], sids[first], views[first]), distinct_pairs(sids[tied], low[tied])[:2],
+            distinct_pairs(sids[met], views[met]))
+
 
+def candidate_edges(docs: DataFrame, text_col: str, width: int, percent: int,
+                    common: bytes) -> tuple[DataFrame, DataFrame]:
+    """``a, b``: every set tied to the smallest one that has an equal part; ``sid``: sets that may have links.
 
-def candidate_edges(docs: DataFrame, text_col: str, width: int, percent: int, common: bytes) -> DataFrame:
-    """``a, b``: every set tied to the smallest one that has an equal part."""
+    Equal parts of a set are counted where they are tied. One tied within a task and
+    again between tasks counts twice, which keeps a set too many, never drops one.
+    """
     rows = docs.count()
     shared = docs.sparkSession.sparkContext.broadcast(common)
     buckets = rows * 256 // BUCKET_PARTS + 16
+    schema = pa.schema([("bucket", pa.int64()), ("data", pa.binary()), ("a", pa.int64()), ("b", pa.int64()),
+                        ("view", pa.int64()), ("hits", pa.int64()), ("need", pa.int64())])
+
+    def filled(**columns) -> pa.RecordBatch:
+        n = len(next(iter(columns.values())))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema],
+            schema=schema)
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, parts, held, size = Sets(width), Parts(percent, shared.value), [], 0
-        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64())
 
         def flush() -> Iterator[pa.RecordBatch]:
-            keys = np.concatenate([p for _, p in held])
-            owners = np.repeat(np.array([s for s, _ in held], np.int64), [len(p) for _, p in held])
-            keys, owners, a, b = ties(keys, owners)
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(a), kinds[0]), pa.nulls(len(a), kinds[1]), pa.array(a), pa.array(b)],
-                names=["bucket", "data", "a", "b"])
+            needs = {(sid, view): need for sid, (_, _, own) in held for view, need in own.items()}
+            yield filled(a=[sid for sid, _ in needs], view=[view for _, view in needs], hits=[0] * len(needs),
+                         need=list(needs.values()))
+            (keys, owners, views), (a, b), (sids, seen, n) = ties(
+                np.concatenate([p[0] for _, p in held]),
+                np.repeat(np.array([s for s, _ in held], np.int64), [len(p[0]) for _, p in held]),
+                np.concatenate([p[1] for _, p in held]))
+            yield filled(a=a, b=b)
+            yield filled(a=sids, view=seen, hits=n)
             bucket = (keys >> np.uint64(32)) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
             used = np.flatnonzero(np.diff(cuts))
-            blobs = [keys[o].tobytes() + owners[o].tobytes()
+            blobs = [keys[o].tobytes() + owners[o].tobytes() + views[o].tobytes()
                      for o in (order[cuts[k]:cuts[k + 1]] for k in used)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(used), pa.array(blobs, kinds[1]), pa.nulls(len(used), kinds[2]),
-                 pa.nulls(len(used), kinds[3])], names=["bucket", "data", "a", "b"])
+            yield filled(bucket=used, data=blobs)
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 members = sets.of(text)
                 if len(members):
                     held.append((identity(members), parts.of(members)))
-                    size += len(held[-1][1])
+                    size += len(held[-1][1][0])
                 if size >= CHUNK_PARTS:
                     yield from flush()
                     held, size = [], 0
@@ -334,21 +376,35 @@ def candidate_edges(docs: DataFrame, text_col: str, width: int, percent: int, co
             yield from flush()
 
     def reduced(table: pa.Table) -> pa.Table:
-        keys, owners = [], []
+        keys, owners, views = [], [], []
         for data in table.column("data").to_pylist():
-            both = np.frombuffer(data, np.uint64)
-            keys.append(both[:len(both) // 2])
-            owners.append(both[len(both) // 2:].view(np.int64))
-        _, _, a, b = ties(np.concatenate(keys), np.concatenate(owners))
-        return pa.table({"a": a, "b": b})
-
-    path = work_path(docs.sparkSession, "parts")
+            n = len(data) // 17  # 8 bytes of the part, 8 of the set, 1 of the view
+            keys.append(np.frombuffer(data, np.uint64, n))
+            owners.append(np.frombuffer(data, np.int64, n, 8 * n))
+            views.append(np.frombuffer(data, np.uint8, n, 16 * n))
+        _, (a, b), (sids, seen, n) = ties(np.concatenate(keys), np.concatenate(owners), np.concatenate(views))
+        return pa.Table.from_batches([filled(a=a, b=b), filled(a=sids, view=seen, hits=n)]).select(
+            ["a", "b", "view", "hits"])
+
+    spark, path = docs.sparkSession, work_path(docs.sparkSession, "parts")
     docs.where(F.col(text_col).isNotNull()).select(text_col).mapInArrow(
-        mapped, "bucket bigint, data binary, a bigint, b bigint").write.parquet(path)
-    made = docs.sparkSession.read.parquet(path)
-    met = made.where("bucket is not null").select("bucket", "data").groupBy("bucket").applyInArrow(
-        reduced, "a bigint, b bigint")
-    return made.where("a is not null").select("a", "b").unionByName(met)
+        mapped, "bucket bigint, data binary, a bigint, b bigint, view bigint, hits bigint, need bigint",
+    ).write.parquet(f"{path}/made")
+    made = spark.read.parquet(f"{path}/made")
+    made.where("bucket is not null").select("bucket", "data").groupBy("bucket").applyInArrow(
+        reduced, "a bigint, b bigint, view bigint, hits bigint").write.parquet(f"{path}/met")
+    rows = made.where("bucket is null").drop("bucket", "data").unionByName(
+        spark.read.parquet(f"{path}/met"), allowMissingColumns=True)
+    able = rows.where("view is not null").groupBy("a", "view").agg(
+        F.sum("hits").alias("hits"), F.max("need").alias("need")).where("hits >= need")
+    return rows.where("b is not null").select("a", "b"), able.select(F.col("a").alias("sid")).distinct()
+
+
+def fetched_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows of ``wanted`` (stored, with ``key``) with the texts that have its ids."""
+    texts = docs.where(F.col(text_col).isNotNull()).select(
+        F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NO_ID)).alias("key"), F.col(text_col).alias("text"))
+    return lookup_join(texts, wanted, ["key"], "inner", ["text"])
 
 
 def verified_links(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int,
@@ -379,9 +435,7 @@ def verified_links(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: st
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()),
                          "b": pa.array([b for _, b in found], pa.int64())})
 
-    texts = docs.where(F.col(text_col).isNotNull()).select(
-        F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NO_ID)).alias("key"), F.col(text_col).alias("text"))
-    fetched = lookup_join(texts, wanted, ["key"], "inner", ["text"]).select("sid", "units", "text").mapInArrow(
+    fetched = fetched_texts(docs, wanted, id_col, text_col).select("sid", "units", "text").mapInArrow(
         members, "sid bigint, units array<bigint>, members binary")
     # copies with one id would come twice: a unit keeps a set once
     return fetched.select("sid", "members", F.explode("units").alias("unit")).withColumn(
@@ -403,8 +457,20 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows, counts = stored_sets(docs, id_col, text_col, width)
     key = F.coalesce(F.col("key").cast("bigint"), F.lit(_NO_ID))
     holders = rows.where("n > 0").groupBy("sid").agg(F.min(key).alias("key"))
-    tied = components(candidate_edges(docs, text_col, width, percent, common_members(counts)))
-    members = stored(tied.join(holders, tied["id"] == holders["sid"]).select("sid", "key", "component"), "members")
+    common = common_members(counts)
+
+    def grouped(texts: DataFrame, column: str, name: str) -> DataFrame:
+        edges, able = candidate_edges(texts, column, width, percent, common)
+        tied = components(edges).withColumnRenamed("id", "sid")
+        return stored(tied.join(able, "sid", "left_semi").join(holders, "sid").select("sid", "key", "component"), name)
+
+    members = grouped(docs, text_col, "members")
+    sizes = stored(members.groupBy("component").count().where(F.col("count") > block), "sizes")
+    if not sizes.isEmpty():
+        again = stored(members.join(sizes, "component", "left_semi"), "again")
+        once_more = grouped(fetched_texts(docs, again.select("key").distinct(), id_col, text_col), "text", "members-2")
+        members = stored(members.join(sizes, "component", "left_anti").unionByName(
+            once_more.join(again, "sid", "left_semi")), "members-3")
 
     # large candidate groups are cut into blocks that share a few leaders
     large = stored(members.groupBy("component").agg(F.count(F.lit(1)).alias("m"), F.min_by(
