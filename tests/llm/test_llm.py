@@ -125,6 +125,25 @@ def test_passages(spark, odd, none):
     assert passages.repeated_passages(none).count() == 0
 
 
+def test_passages_every_shared_stretch_of_a_hull():
+    r = np.random.default_rng(1)
+    some = lambda n: r.integers(0, 2**32, n, dtype=np.uint32)
+    first, second, join = some(56), some(56), np.concatenate
+    places = lambda *x: [y[:4] for y in passages.compare(join(x[0]), join(x[1]), 46, 80)]
+    apart = [some(9), first, some(200), second, some(9)], [some(70), first, some(30), second, some(5)]
+    assert places(*apart) == [(9, 65, 70, 126), (265, 321, 156, 212)]
+    close = [some(9), first, some(4), second, some(9)], [some(70), first, some(500), second, some(5)]
+    assert places(*close) == [(9, 65, 70, 126), (69, 125, 626, 682)]
+    assert places(*close[::-1]) == [(70, 126, 9, 65), (626, 682, 69, 125)]
+    twice = [some(9), first, some(100), first], [some(70), first]
+    assert places(*twice) == [(9, 65, 70, 126), (165, 221, 70, 126)]
+    assert places(*twice[::-1]) == [(70, 126, 9, 65), (70, 126, 165, 221)]
+    assert places([first, some(30), second[:30]], [first, some(30), second[:30]]) == [(0, 56, 0, 56)]  # not similar as a whole
+    box = lambda a, b: a << 32 | b
+    found = [(0, box(5, 90), box(3, 80)), (1, box(7, 95), box(1, 70)), (0, box(5, 90), box(500, 600))]
+    assert passages.stretches(found, 2) == [(5, 95, 1, 80)]
+
+
 # --- 3
 def test_mixing_cases(spark, odd, none):
     mix = mixing.Mix(budget_percent=100, max_epochs=1)
