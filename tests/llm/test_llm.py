@@ -144,6 +144,17 @@ def test_passages_every_shared_stretch_of_a_hull():
     assert passages.stretches(found, 2) == [(5, 95, 1, 80)]
 
 
+def test_passages_later_place_in_an_end_text(spark):
+    r = random.Random(8)
+    make = lambda n: [f"p{r.randrange(10**6)}" for _ in range(n)]
+    shared = make(60)
+    edited = [w if i % 9 else f"e{i}" for i, w in enumerate(shared)]
+    rows = [(1, make(9) + edited + make(300) + shared + make(300) + shared), (2, make(70) + shared + make(7))]
+    frame = spark.createDataFrame([(k, " ".join(t)) for k, t in rows], "doc_id long, text string")
+    got = {(g.doc_id, g.start_word, g.other_start, g.n_words) for g in passages.repeated_passages(frame).collect()}
+    assert got == {(2, 70, 369, 60), (2, 70, 729, 60)}
+
+
 # --- 3
 def test_mixing_cases(spark, odd, none):
     mix = mixing.Mix(budget_percent=100, max_epochs=1)
