@@ -155,6 +155,21 @@ def test_passages_later_place_in_an_end_text(spark):
     assert got == {(2, 70, 369, 60), (2, 70, 729, 60)}
 
 
+def test_passages_between_near_misses_at_both_ends(spark):
+    r = random.Random(3)
+    make = lambda n: [f"p{r.randrange(10**6)}" for _ in range(n)]
+    rows, wanted = [], set()
+    for case in range(0, 2000, 100):
+        shared = make(60)
+        edited = [w if i not in (20, 45) else f"e{case}" for i, w in enumerate(shared)]  # Jaccard 0.7
+        rows += [(case + k, " ".join(make(30) + (edited if k in (1, 99) else shared) + make(30))) for k in (1, 10, 20, 30, 99)]
+        wanted |= {case + k for k in (1, 10, 20, 30, 99)}
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {x for g in got for x in (g.doc_id, g.other_id)} == wanted
+    assert {g.doc_id for g in got if (g.start_word, g.n_words) == (30, 60)} | {
+        g.other_id for g in got if (g.other_start, g.other_words) == (30, 60)} == wanted
+
+
 # --- 3
 def test_mixing_cases(spark, odd, none):
     mix = mixing.Mix(budget_percent=100, max_epochs=1)
