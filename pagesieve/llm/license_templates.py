@@ -38,21 +38,51 @@ PHRASES = {
     "mit license": "mit",
 }
 
-# Own wording of common notices; the label is what a full match adds.
+_GRANTS = ("licensed", "released", "distributed", "available", "provided", "published")
+_GPL = "gnu general public license"
+_MODIFY = "redistribute it and or modify it under the terms of the"
+_BSD = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the "
+    "following conditions are met [1 | a] redistributions of source code must retain the above copyright notice this "
+    "list of conditions and the following disclaimer [2 | b] redistributions in binary form must reproduce the above "
+    "copyright notice this list of conditions and the following disclaimer in the documentation and or other "
+    "materials provided with the distribution ",
+    "[3 | c] neither the name of {12} nor the names of [its | {2}] contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission ",
+    "this software is provided by {12} as is and any express or implied warranties including but not limited to the "
+    "implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall "
+    "{12} be liable for any direct indirect incidental special exemplary or consequential damages including but not "
+    "limited to procurement of substitute goods or services loss of use data or profits or business interruption "
+    "however caused and on any theory of liability whether in contract strict liability or tort including negligence "
+    "or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage")
+
+# Notices in a line, notices and licence texts with their whole wording; the label is what a full match adds.
 TEMPLATES = (
     ("mit", "[this {6}] [is] [released | licensed | distributed] under the [terms of the] mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software "
-            "[and associated documentation files] {12} to deal in the software without restriction"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and "
+            "associated documentation files the software to deal in the software without restriction including "
+            "without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies "
+            "of the software and to permit persons to whom the software is furnished to do so subject to the "
+            "following conditions the above copyright notice and this permission notice [including the next "
+            "paragraph] shall be included in all copies or substantial portions of the software the software is "
+            "provided as is without warranty of any kind express or implied including but not limited to the "
+            "warranties of merchantability fitness for a particular purpose and noninfringement in no event shall "
+            "{12} be liable for any claim damages or other liability whether in an action of contract tort or "
+            "otherwise arising from out of or in connection with the software or the use or other dealings in the "
+            "software"),
     ("apache", "licensed under the apache license version {2} [the license]"),
     ("apache-2.0", "[licensed under the] apache license version 2 [0]"),
-    ("gpl-3.0", "[this {2} is] licensed under the [terms of the] gnu general public license [as published by {6}] "
-                "[either] version 3 [or any later version]"),
-    ("gpl-2.0", "[this {2} is] licensed under the [terms of the] gnu general public license [as published by {6}] "
-                "[either] version 2 [or any later version]"),
+    *((f"gpl-{n}.0", t) for n in (3, 2) for t in (
+        *(f"{g} under the [terms of the] {_GPL} [as published by {{6}}] [either] version {n} [or any later version]"
+          for g in _GRANTS),
+        f"{_MODIFY} {_GPL} as published by the free software foundation [either] version {n} [of the license] "
+        "[or at your option any later version]",
+        f"{_MODIFY} {_GPL} version {n} as published by the free software foundation")),
     ("cc-by-nc", "licensed under [a] [creative commons | cc] by nc [{1} {1}] [license]"),
     ("cc-by-sa", "licensed under [a] [creative commons | cc] by sa [{1} {1}] [license]"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted "
-            "provided that the following conditions are met"),
+    ("bsd", _BSD[0] + f"[{_BSD[1]}]" + _BSD[2]),
+    ("bsd-2-clause", _BSD[0] + _BSD[2]),
+    ("bsd-3-clause", "".join(_BSD)),
 )
 
 

@@ -304,6 +304,24 @@ def test_license_scan(spark, docs, odd, none):
     assert license_templates.scan(odd).count() == len(ODD) and license_templates.scan(none).count() == 0
 
 
+def test_licence_notices_and_texts_in_full():
+    labels = lambda text: license_templates.Scanner().scan(text)[5].split(",")
+    gpl = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
+           "Public License as published by the Free Software Foundation, either version {} of the License, or (at your "
+           "option) any later version.")
+    assert labels(gpl.format(3)) == ["gpl", "gpl-3.0"] and labels(gpl.format(2)) == ["gpl", "gpl-2.0"]
+    assert labels(gpl.format(3).replace("modify", "sell")) == ["gpl"]
+    assert labels("released under the GNU General Public License version 3") == ["gpl", "gpl-3.0"]
+    texts = dict(license_templates.TEMPLATES[1:2] + license_templates.TEMPLATES[-2:])
+    fill = lambda t: re.sub(r" +", " ", re.sub(r"\{\d+\}", "the authors", re.sub(r"\[[^\]]*\]", "", t)))
+    for name, wanted, late in (("mit", ["mit"], "dealings"), ("bsd-2-clause", ["bsd", "bsd-2-clause"], "advised"),
+                               ("bsd-3-clause", ["bsd", "bsd-3-clause"], "advised")):
+        whole = fill(texts[name])
+        assert labels(f"Copyright 2020 X. {whole} end") == wanted
+        assert labels(whole.replace(f" {late} ", " other ")) == [""]
+        assert labels(whole[:200]) == [""]
+
+
 # --- 8
 def test_quality_measures(spark, docs, odd):
     rows = [(k, t) for k, t in docs.select("doc_id", "text").collect()] + [(10_000 + r[6], r[1]) for r in ODD if r[6]]
