@@ -400,6 +400,12 @@ def test_word_tokens_are_the_tokenizer_s():
 
 
 # --- 10
+def test_topk_reads_long_vectors_whole(spark):
+    rows = [(0, [1.0] * 80), (1, [1.0] * 64 + [-1.0] * 16), (2, [1.0] * 79 + [-1.0])]
+    got = hamming_topk.top_k(spark, spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") == 0, 3)
+    assert sorted((x.distance, x.neighbor_id) for x in got.collect()) == [(0, 0), (1, 2), (16, 1)]
+
+
 def test_topk_cases(spark):
     r = random.Random(6)
     rows = [(k, [r.uniform(-1, 1) for _ in range(64)]) for k in range(120)]
