@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import configure
 from . import compression_quality, hamming_topk, jaccard_trie, langid_hd, license_templates, line_windows, mixing
-from . import packing, passages, weak_rules
+from . import hard_negatives, lm_scoring, packing, passages, spelling_variants, weak_rules
 
 TOKENIZER = "word_bpe_49k.json"
 MIX = mixing.Mix(
@@ -88,6 +88,19 @@ def op10_exact_topk(spark, sf_dir):
     return hamming_topk.top_k(spark, vectors, F.col("vec_id") % 50 == 0, NEIGHBOURS)
 
 
+def op11_lm_scoring(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return lm_scoring.score(spark, docs, langid_hd.held_out("doc_id", 7, 2))
+
+
+def op12_spelling_variants(spark, sf_dir):
+    return spelling_variants.forms(spark, table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark, sf_dir):
+    return hard_negatives.mine(spark, table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -96,7 +109,8 @@ def pipeline(spark, sf_dir):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_language_id, op2_substring_dedup, op3_mixing, op4_quality_classifier, op5_ngram_jaccard_join,
-             op6_line_dedup, op7_license_scan, op8_quality_rules, op9_packing, op10_exact_topk, pipeline)
+             op6_line_dedup, op7_license_scan, op8_quality_rules, op9_packing, op10_exact_topk, op11_lm_scoring, op12_spelling_variants,
+             op13_hard_negatives, pipeline)
     return {q.__name__: q for q in found}
 
 
@@ -217,6 +231,33 @@ SELECT query_id, rank, neighbor_id, distance FROM (
 WHERE rank <= {NEIGHBOURS}"""
 
 
+_MINE = hard_negatives.Mining()
+NEGATIVES_SQL = f"""
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % {_MINE.relabel_every} = 0 THEN (label + 1) % 10 ELSE label END AS label,
+      list_transform(embedding, lambda x: floor({_MINE.scale} * x::DOUBLE)::BIGINT) AS q
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), true)),
+  s AS (
+    SELECT a.vec_id AS anchor_id, a.label AS anchor_label, v.vec_id AS id, v.label,
+      coalesce(list_sum(list_transform(range(1, least(len(a.q), len(v.q)) + 1), lambda i: a.q[i] * v.q[i])), 0)::BIGINT
+        AS score
+    FROM v a JOIN v ON a.vec_id % {_MINE.anchor_every} = 0 AND v.vec_id <> a.vec_id),
+  pos AS (
+    SELECT anchor_id, anchor_label, id AS positive_id, score AS positive_score FROM (
+      SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS r FROM s
+      WHERE label = anchor_label)
+    WHERE r <= {_MINE.positives}),
+  neg AS (
+    SELECT p.anchor_id, p.positive_id, p.positive_score, s.id AS negative_id, s.score AS negative_score,
+      row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id) AS rank
+    FROM pos p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> p.anchor_label
+      AND {_MINE.low_percent} * p.positive_score <= 100 * s.score AND 100 * s.score <= {_MINE.high_percent} * p.positive_score)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score
+FROM neg WHERE rank <= {_MINE.negatives}"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": _mixing_sql(), "op5_ngram_jaccard_join": JACCARD_SQL, "op6_line_dedup": LINES_SQL,
+    return {"op13_hard_negatives": NEGATIVES_SQL, "op3_mixing": _mixing_sql(), "op5_ngram_jaccard_join": JACCARD_SQL, "op6_line_dedup": LINES_SQL,
             "op10_exact_topk": TOPK_SQL}
