@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import htmlmeta as H
-from ..functions.bind import compute
+from ..functions.bind import compute, let
 from ..functions.blocks import content_blocks, html_blocks, join_blocks
 from .skew import drop_frequent
 
@@ -69,37 +69,43 @@ def page_metadata(df: DataFrame, view: str, url: str) -> DataFrame:
     })
 
 
-def _half(token: Column, start: int) -> Column:
-    """32 bits of the token's digest as a number."""
-    return F.conv(F.substr(F.md5(token.cast("binary")), F.lit(start), F.lit(8)), 16, 10).cast("bigint")
+def _half(digest: Column, start: int) -> Column:
+    """32 bits of a token's hex digest as a number."""
+    return F.conv(F.substr(digest, F.lit(start), F.lit(8)), 16, 10).cast("bigint")
 
 
-def fingerprint(df: DataFrame, id_cols, text: str) -> DataFrame:
-    """``id_cols`` + ``fingerprint``: 64-bit simhash of the words, 16 hex digits.
+def fingerprint_of(text: Column) -> Column:
+    """64-bit simhash of the words of ``text``, 16 hex digits; null without words.
 
     Charikar (2002): each word votes on every bit by its own hash; a bit is set
     when more than half of the words have it. Two votes share one 64-bit
-    counter, 32 bits each, so a text may have up to 2^31 words. Votes are
-    added up before the shuffle; texts are not shuffled.
+    counter, 32 bits each, so a text may have up to 2^31 words. The counters are
+    folded over the text's words inside the row: nothing is exploded, shuffled or
+    joined back.
     """
-    words = df.select(
-        *id_cols,
-        F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"[^\s]+"), F.lit(0))).alias("w"),
-    ).select(*id_cols, _half(F.col("w"), 1).alias("hi"), _half(F.col("w"), 9).alias("lo"))
+    digests = F.transform(F.regexp_extract_all(F.lower(text), F.lit(r"[^\s]+"), F.lit(0)),
+                          lambda w: F.md5(w.cast("binary")))
+    halves = F.transform(digests, lambda d: F.struct(_half(d, 1).alias("hi"), _half(d, 9).alias("lo")))
 
     def bit(half, i):
-        return F.shiftright(F.col(half), i).bitwiseAND(F.lit(1))
+        return F.shiftright(half, i).bitwiseAND(F.lit(1))
 
-    votes = words.groupBy(*id_cols).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.sum(bit("hi", i) + F.shiftleft(bit("lo", i), 32)).alias(f"v{i}") for i in range(32)],
-    )
+    zero = F.struct(F.lit(0).cast("bigint").alias("n"), *[F.lit(0).cast("bigint").alias(f"v{i}") for i in range(32)])
+    votes = F.aggregate(halves, zero, lambda acc, x: F.struct(
+        (acc["n"] + 1).alias("n"),
+        *[(acc[f"v{i}"] + bit(x["hi"], i) + F.shiftleft(bit(x["lo"], i), 32)).alias(f"v{i}") for i in range(32)]))
 
-    def decided(low_half):
+    def decided(v, low_half):
         value = F.lit(0).cast("bigint")
         for i in range(32):
-            count = F.shiftright(F.col(f"v{i}"), 32) if low_half else F.col(f"v{i}").bitwiseAND(F.lit(0xFFFFFFFF))
-            value = value + F.when(count * 2 > F.col("n"), F.lit(1 << i)).otherwise(F.lit(0))
+            count = F.shiftright(v[f"v{i}"], 32) if low_half else v[f"v{i}"].bitwiseAND(F.lit(0xFFFFFFFF))
+            value = value + F.when(count * 2 > v["n"], F.lit(1 << i)).otherwise(F.lit(0))
         return F.lpad(F.lower(F.hex(value)), 8, "0")
 
-    return votes.select(*id_cols, F.concat(decided(False), decided(True)).alias("fingerprint"))
+    return let(votes, lambda v: F.when(v["n"] > 0, F.concat(decided(v, False), decided(v, True))))
+
+
+def fingerprint(df: DataFrame, id_cols, text: str) -> DataFrame:
+    """``id_cols`` + ``fingerprint`` of the texts that have words (see :func:`fingerprint_of`)."""
+    return df.select(*id_cols, fingerprint_of(F.col(text)).alias("fingerprint")).where(
+        F.col("fingerprint").isNotNull())

@@ -16,7 +16,7 @@ from ..functions.bytesview import byte_view
 from ..functions.charset import decode_text
 from ..operators.documents import final_document
 from ..operators.extract import (
-    drop_repeated_blocks, fingerprint, main_text, page_metadata, text_of_blocks,
+    drop_repeated_blocks, fingerprint_of, main_text, page_metadata, text_of_blocks,
 )
 from ..operators.filters import (
     drop_failed_archives, filter_extracted, flag_too_short,
@@ -24,6 +24,7 @@ from ..operators.filters import (
 )
 from ..operators.langid import filter_predicted_language, predict_language
 from ..operators.pairing import carry_pair, keyed_pair
+from ..operators.positions import attach, keep_positions, position_bitmaps
 from ..session import spread
 
 ORDER = ("block_start", "rec_seq")
@@ -121,10 +122,8 @@ def candidates(records: DataFrame, settings: Settings, stage: str | None = None)
     """Pages whose annotation names the target language as dominant.
 
     ``warc_path, held, rec_headers, fields, payload, url``: pairs are found on
-    slim rows, and page contents are then joined to the pairs alone. Positions
-    are unique, so no join key is hot. With ``stage`` the pairs are stored
-    first: their size is then known when the join is planned, and Spark sends
-    them to the pages where they are small instead of shuffling all pages.
+    slim rows; their page positions become bitmaps that filter the page scan
+    (:func:`at_positions`), so pages are not shuffled to meet their pairs.
     """
     slim = slim_records(records, settings)
     pages = html_pages(records, settings).drop("rec_headers")
@@ -137,7 +136,20 @@ def candidates(records: DataFrame, settings: Settings, stage: str | None = None)
         opens=F.col("is_page"), closes=F.col("is_note"),
         accepts=F.col("note.wanted"), keep=("rec_headers", "fields"),
     ).drop("pos")
-    return _staged(pairs, stage, "pairs").join(pages.drop("record_id"), list(KEY))
+    return at_positions(pages.drop("record_id"), _staged(pairs, stage, "pairs"), stage, "pairs-bitmaps")
+
+
+def at_positions(pages: DataFrame, chosen: DataFrame, stage: str | None, name: str) -> DataFrame:
+    """``pages`` at the positions of ``chosen`` (keyed by ``KEY``, one row each), with its columns.
+
+    The positions filter the page scan as bitmaps; ``chosen`` is then broadcast to the
+    kept pages when its rows and bytes are within bounds. Pages move through no shuffle
+    unless ``chosen`` is beyond those bounds; then only the kept pages do.
+    """
+    bitmaps = _staged(position_bitmaps(chosen.select("warc_path", F.col("held.rec_seq").alias("rec_seq"))),
+                      stage, name)
+    kept = keep_positions(pages, bitmaps, seq=F.col("held.rec_seq"))
+    return attach(kept, chosen, list(KEY))
 
 
 def pair_content_first(documents: DataFrame, records: DataFrame, settings: Settings) -> DataFrame:
@@ -158,17 +170,17 @@ def pair_content_first(documents: DataFrame, records: DataFrame, settings: Setti
     return documents.join(pairs.drop("pos"), list(KEY))
 
 
-def classified(pages: DataFrame, profile: DataFrame, target: str) -> DataFrame:
+def classified(pages: DataFrame, profile: DataFrame, target: str, stage: str | None = None) -> DataFrame:
     """Pages whose description, title or heading is in ``target``, with ``prediction``.
 
-    Only keys and the short probe text go through the model; its result is
-    joined on the keys the pages are already partitioned by.
+    Only keys and the short probe text go through the model; the accepted
+    positions then filter the pages as bitmaps (:func:`at_positions`).
     """
     probes = compute(pages.select(*KEY, "payload"), {
         "probe": H.lang_probe_text(byte_view(F.col("payload")))}).drop("payload")
-    found = predict_language(probes, KEY, "probe", profile)
-    # both sides are keyed by position; a merge join leaves the pages spread for the work ahead
-    return pages.join(filter_predicted_language(found, target).hint("merge"), list(KEY))
+    found = _staged(filter_predicted_language(predict_language(probes, KEY, "probe", profile), target),
+                    stage, "accepted")
+    return at_positions(pages, found, stage, "accepted-bitmaps")
 
 
 def with_text(pages: DataFrame, settings: Settings, profile: DataFrame | None = None,
@@ -187,8 +199,7 @@ def with_text(pages: DataFrame, settings: Settings, profile: DataFrame | None =
     if settings.body_gate:
         body = predict_language(texts, KEY, "raw_text", profile)
         texts = texts.join(filter_predicted_language(body, settings.target).select(*KEY), list(KEY))
-    marks = fingerprint(texts, KEY, "raw_text")
-    return flag_too_short(texts, "text", settings.min_chars).join(marks, list(KEY), "left")
+    return flag_too_short(texts, "text", settings.min_chars).withColumn("fingerprint", fingerprint_of(F.col("raw_text")))
 
 
 def _staged(pages: DataFrame, stage: str | None, name: str) -> DataFrame:
@@ -210,14 +221,14 @@ def refine(records: DataFrame, settings: Settings, profile: DataFrame | None = N
     """
     usable = usable_records(records, settings, stage)
     if settings.pairing == "content_first":
-        pages = classified(html_pages(usable, settings).drop("record_id"), profile, settings.target)
+        pages = classified(html_pages(usable, settings).drop("record_id"), profile, settings.target, stage)
         pages = with_text(pages, settings, profile, stage)
         return _documents(pair_content_first(pages, usable, settings), settings)
     if settings.pairing not in ("positional", "keyed"):
         raise ValueError("pairing must be 'positional', 'keyed' or 'content_first'")
     pages = _staged(candidates(usable, settings, stage), stage, "pages")
     if settings.classify:
-        pages = classified(pages, profile, settings.target)
+        pages = classified(pages, profile, settings.target, stage)
     else:
         pages = pages.withColumn(
             "prediction", F.lit(None).cast("struct<code: string, prob: double>"))

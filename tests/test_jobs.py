@@ -218,3 +218,55 @@ def test_ingest_resumes(spark, profile, tmp_path):
              record("metadata", "nN", languages(("fr", 0.9))))
     found, ledger = run()
     assert found == ["<n1>", "<n3>", "<nB>", "<nN>", "<nP>"] and ledger.count() == 4
+
+
+def _shuffled_columns(df):
+    """Names of the columns every hash or range exchange of the physical plan moves."""
+    plan = df._jdf.queryExecution().executedPlan()
+    found, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        if "AdaptiveSparkPlan" in node.nodeName():
+            todo.append(node.executedPlan())
+            continue
+        text = node.simpleString(100)
+        if node.nodeName() == "Exchange" and "RoundRobin" not in text and "SinglePartition" not in text:
+            found.append([a.name() for a in node.output().toSeq()])
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+        subqueries = node.subqueries()
+        todo += [subqueries.apply(i) for i in range(subqueries.size())]
+    return found
+
+
+@pytest.mark.parametrize("mode", ["raw", "text"])
+def test_no_shuffle_carries_contents(spark, records, profile, tmp_path, mode):
+    """Pages meet their pairs and predictions by bitmaps of positions: no exchange moves a page or text.
+
+    Broadcasts of data tables are off; only the bounded, checked ones of the job remain. Exchanges
+    that spread a small staged table over all cores (round robin) are not joins and are left out.
+    """
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = refine(records, Settings(target="fr", mode=mode), profile, stage=str(tmp_path / "stage"))
+        moved = {c for columns in _shuffled_columns(docs) for c in columns}
+        assert not moved & {"payload", "html", "raw_text", "text", "raw_data"}
+        assert notes_of(docs) == ["<n1>", "<n3>", "<nB>", "<nD>", "<nP>"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_position_bitmaps_keep_exactly_the_positions(spark):
+    import random
+
+    from pagesieve.operators.positions import keep_positions, position_bitmaps
+    r = random.Random(4)
+    seqs = [(p << 33) + r.randrange(200_000) for p in range(3) for _ in range(300)]
+    rows = spark.createDataFrame([(f"a{s % 3}", s, "x" * 10) for s in set(seqs)], "warc_path string, rec_seq long, payload string")
+    chosen = {s for s in set(seqs) if r.random() < 0.3}
+    wanted = spark.createDataFrame([(f"a{s % 3}", s) for s in chosen] + [("other", 5)], "warc_path string, rec_seq long")
+    bitmaps = position_bitmaps(wanted)
+    for max_bytes in (64 << 20, 9000):          # one round, and several
+        kept = keep_positions(rows, bitmaps, max_bytes=max_bytes)
+        assert kept.columns == ["warc_path", "rec_seq", "payload"]
+        assert sorted(r.rec_seq for r in kept.collect()) == sorted(chosen)
