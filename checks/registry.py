@@ -15,6 +15,7 @@ from pagesieve.functions.charset import decode_text, guess_charset, is_utf8
 from pagesieve.operators import extract, filters, langid, progress
 from pagesieve.operators.documents import raw_projection
 from pagesieve.operators.pairing import carry_pair, keyed_pair
+from pagesieve.plans import manifest_job as J
 from pagesieve.plans.refine import ORDER, Settings, refine
 from pagesieve.session import configure, work_path
 from pagesieve.sources import ledger as L
@@ -527,3 +528,47 @@ def stream_ingest(spark, sf_dir):
 def stream_resume(spark, sf_dir):
     """The same ingestion started twice: the second start finds nothing new."""
     return _ingested(spark, sf_dir, 2)
+
+
+# --- the main job: manifest, ledger, shards ----------------------------------------------------
+def _manifest(spark, archives: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """A manifest of the archive files below ``archives``, relative paths in name order."""
+    fs, base = J._fs(spark, archives)
+    found = sorted(str(s.getPath().toString()) for s in fs.globStatus(base.suffix("/archive=*/*.gz")))
+    root = str(fs.makeQualified(base).toString()).rstrip("/") + "/"
+    lines = [f[len(root):] for f in found] + list(extra)
+    path = work_path(spark, "manifest")
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    return read_manifest(spark, path)
+
+
+def _job(spark, sf_dir, interrupted: bool) -> DataFrame:
+    archives, out = _archives(spark, sf_dir), work_path(spark, "job")
+    settings, profile = Settings(target="en", mode="raw"), trained(spark, sf_dir)
+    manifest = _manifest(spark, archives, ("archive=missing/part-00000.gz",) if interrupted else ())
+
+    def stop(step, batch):
+        if step == "documents" and batch == 1:
+            raise KeyboardInterrupt
+
+    if interrupted:
+        try:
+            J.run_manifest(spark, manifest, archives, out, settings, profile, archives_per_batch=4,
+                           archive_name=archive_name(), run="20240708000000", interrupt=stop)
+        except KeyboardInterrupt:
+            pass
+    J.run_manifest(spark, manifest, archives, out, settings, profile, archives_per_batch=4,
+                   archive_name=archive_name(), run="20240708000001")
+    return _raw_columns(J.committed_documents(spark, out))
+
+
+@query
+def manifest_job(spark, sf_dir):
+    """Manifest minus ledger, three batches of archives, shards committed by ledger rows."""
+    return _job(spark, sf_dir, False)
+
+
+@query
+def manifest_job_retry(spark, sf_dir):
+    """Stopped after the documents of batch 1 and before its ledger rows, with a missing archive; run again."""
+    return _job(spark, sf_dir, True)

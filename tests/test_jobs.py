@@ -270,3 +270,38 @@ def test_position_bitmaps_keep_exactly_the_positions(spark):
         kept = keep_positions(rows, bitmaps, max_bytes=max_bytes)
         assert kept.columns == ["warc_path", "rec_seq", "payload"]
         assert sorted(r.rec_seq for r in kept.collect()) == sorted(chosen)
+
+
+def test_manifest_job_commits_by_ledger_and_retries(spark, profile, tmp_path):
+    """Stop between documents and ledger, a damaged archive mended later: no loss, no double."""
+    from pagesieve.plans import manifest_job as J
+    folder = write_all(tmp_path / "archives")
+    (folder / "late.warc.gz").write_bytes(b"\x1f\x8b\x08\x00 not gzip at all")
+    listed = tmp_path / "manifest.txt"
+    listed.write_text("ok.warc.gz\nstale.warc.gz\nlate.warc.gz\nbad.warc.gz\nok.warc.gz\n")
+    manifest = read_manifest(spark, str(listed))
+    out, settings = str(tmp_path / "out"), Settings(target="fr")
+
+    def stop(step, batch):
+        if step == "documents" and batch == 1:
+            raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        J.run_manifest(spark, manifest, str(folder), out, settings, profile, archives_per_batch=2, run="1", interrupt=stop)
+    states = {r.warc_path: r.status for r in J.archive_states(J.read_attempts(spark, out)).collect()}
+    # batch 1 failed as a whole: its archives were tried alone; the damaged one failed, the other one
+    # wrote its documents and was stopped before its ledger rows
+    assert states == {"ok.warc.gz": "ok", "stale.warc.gz": "ok", "late.warc.gz": "failed"}
+    assert len(os.listdir(f"{out}/shards")) == 2                        # its shard is there, uncommitted
+    assert notes_of(J.committed_documents(spark, out)) == ["<n1>", "<n3>", "<nB>", "<nP>"]
+
+    assert J.run_manifest(spark, manifest, str(folder), out, settings, profile, archives_per_batch=2, run="2") == 1
+    states = {r.warc_path: (r.status, r.error) for r in J.archive_states(J.read_attempts(spark, out)).collect()}
+    assert states["late.warc.gz"][0] == "failed" and states["late.warc.gz"][1] and states["bad.warc.gz"][0] == "ok"
+    assert notes_of(J.committed_documents(spark, out)) == ["<n1>", "<n3>", "<nB>", "<nD>", "<nP>"]
+
+    write_gz(folder / "late.warc.gz", record("response", "L", french("L"), uri="http://a.example/L"),
+             record("metadata", "nL", languages(("fr", 0.9)), refers="L"))
+    assert J.run_manifest(spark, manifest, str(folder), out, settings, profile, archives_per_batch=2, run="3") == 1
+    assert notes_of(J.committed_documents(spark, out)) == ["<n1>", "<n3>", "<nB>", "<nD>", "<nL>", "<nP>"]
+    assert J.run_manifest(spark, manifest, str(folder), out, settings, profile, run="4") == 0
