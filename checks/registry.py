@@ -511,11 +511,16 @@ def shard_roundtrip(spark, sf_dir):
 
 
 # --- streaming ---------------------------------------------------------------------------------
-def _ingested(spark, sf_dir, runs: int) -> DataFrame:
+def _ingested(spark, sf_dir, runs: int, per_batch: int = 1000, interrupt=None) -> DataFrame:
     archives, out = _archives(spark, sf_dir), work_path(spark, "ingest")
-    for _ in range(runs):
-        ingest(spark, f"{archives}/*", out, Settings(target="en", mode="raw"), trained(spark, sf_dir),
-               archives_per_batch=1000, base=archives, archive_name=archive_name())
+    for run in range(runs):
+        try:
+            ingest(spark, f"{archives}/*", out, Settings(target="en", mode="raw"), trained(spark, sf_dir),
+                   archives_per_batch=per_batch, base=archives, archive_name=archive_name(),
+                   interrupt=interrupt if run == 0 else None)
+        except Exception:  # noqa: BLE001 -- the planned stop; the next start replays the batch
+            if interrupt is None or run:
+                raise
     return _raw_columns(spark.read.parquet(f"{out}/documents"))
 
 
@@ -524,6 +529,16 @@ def stream_ingest(spark, sf_dir):
     return _ingested(spark, sf_dir, 1)
 
 
+@query
+def stream_ingest_replay(spark, sf_dir):
+    """Three archives a batch, stopped after the documents of batch 1 and before its ledger; started again."""
+    def stop(step, batch_id):
+        if step == "documents" and batch_id == 1:
+            raise RuntimeError("stopped between documents and ledger")
+
+    return _ingested(spark, sf_dir, 2, per_batch=3, interrupt=stop)
+
+
 @query
 def stream_resume(spark, sf_dir):
     """The same ingestion started twice: the second start finds nothing new."""

@@ -427,6 +427,7 @@ WHERE rn = 1 AND c.dominant = 'en'""",
 FROM pages, (SELECT unnest(['parquet', 'jsonl.gz']) AS fmt)""",
         "stream_ingest": _final("raw"),
         "stream_resume": _final("raw"),
+        "stream_ingest_replay": _final("raw"),
         "manifest_job": _final("raw"),
         "manifest_job_retry": _final("raw"),
     }

@@ -8,6 +8,8 @@ each archive ends up in the output once.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,18 +22,28 @@ from ..sources.warc import archive_pieces, land_archives, numbered
 
 def start_ingest(spark: SparkSession, archives: str, out: str, settings: Settings,
                  profile: DataFrame | None = None, archives_per_batch: int = 1000,
-                 base: str | None = None, archive_name: Column | None = None) -> StreamingQuery:
+                 base: str | None = None, archive_name: Column | None = None,
+                 interrupt: Callable[[str, int], None] | None = None) -> StreamingQuery:
     """Start ingesting everything below ``archives`` that was not ingested before.
 
     Below ``out``: ``documents`` (one folder per batch), ``ledger`` (one row per
     archive), ``records`` (the landed records of a batch) and ``checkpoint``.
-    ``archive_name`` derives the archive's name from ``warc_path``.
+    ``archive_name`` derives the archive's name from ``warc_path``. ``interrupt(step,
+    batch_id)`` is called after each write (``"records"``, ``"documents"``, ``"ledger"``);
+    an exception there stops the query as a lost driver would, and the next start
+    replays that batch into the same folders.
     """
 
+    def mark(step: str, batch_id: int) -> None:
+        if interrupt:
+            interrupt(step, batch_id)
+
     def run_batch(pieces: DataFrame, batch_id: int) -> None:
         landed = land_archives(numbered(pieces), f"{out}/records/batch_id={batch_id}", base, archive_name)
+        mark("records", batch_id)
         documents = refine(landed, settings, profile, stage=f"{out}/stage/batch_id={batch_id}")
         write_shards(documents, f"{out}/documents/batch_id={batch_id}", "parquet")
+        mark("documents", batch_id)
         archives_read = landed.select("warc_path").distinct()
         if settings.fail_mode == "archive":
             failed = failed_archives(landed, settings).withColumn("failed", F.lit(True))
@@ -40,6 +52,7 @@ def start_ingest(spark: SparkSession, archives: str, out: str, settings: Setting
             archives_read = archives_read.withColumn("failed", F.lit(None).cast("boolean"))
         status = F.when(F.col("failed"), "failed").otherwise(F.lit("ok"))
         append_ledger(archives_read.withColumn("status", status), f"{out}/ledger", batch_id)
+        mark("ledger", batch_id)
 
     pieces = archive_pieces(spark, archives, archives_per_batch)
     return (

@@ -305,3 +305,21 @@ def test_manifest_job_commits_by_ledger_and_retries(spark, profile, tmp_path):
     assert J.run_manifest(spark, manifest, str(folder), out, settings, profile, archives_per_batch=2, run="3") == 1
     assert notes_of(J.committed_documents(spark, out)) == ["<n1>", "<n3>", "<nB>", "<nD>", "<nL>", "<nP>"]
     assert J.run_manifest(spark, manifest, str(folder), out, settings, profile, run="4") == 0
+
+
+@pytest.mark.parametrize("step", ["records", "documents", "ledger"])
+def test_ingest_replays_a_stopped_batch(spark, profile, tmp_path, step):
+    """Stopped after any write of batch 1: the next start replays it into the same folders."""
+    folder, out = write_all(tmp_path / "in"), str(tmp_path / "out")
+    settings = Settings(target="fr")
+
+    def stop(at, batch_id):
+        if at == step and batch_id == 1:
+            raise RuntimeError("stopped")
+
+    with pytest.raises(Exception):
+        ingest(spark, str(folder), out, settings, profile, archives_per_batch=1, base=str(folder), interrupt=stop)
+    ingest(spark, str(folder), out, settings, profile, archives_per_batch=1, base=str(folder))
+    assert notes_of(spark.read.parquet(f"{out}/documents")) == ["<n1>", "<n3>", "<nB>", "<nD>", "<nP>"]
+    ledger = L.read_ledger(spark, f"{out}/ledger")
+    assert ledger.count() == 3 and ledger.select("batch_id").distinct().count() == 3
