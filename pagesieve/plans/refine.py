@@ -51,6 +51,12 @@ class Settings:
 def slim_records(records: DataFrame, settings: Settings) -> DataFrame:
     """What pairing needs of every record; page contents are not read for it.
 
+    Damaged records (``torn``, or ``coded`` bodies that could not be undone) take
+    their place in the order like any other: a damaged page is held, so the
+    annotation behind it pairs with it and not with an earlier page; its
+    document is then dropped, as :func:`html_pages` has whole pages only, and
+    :func:`quarantined` lists it.
+
     ``note`` judges an annotation, once: its ``fields``, and whether it is
     ``wanted`` (dominant language is the target), ``unnamed`` (no language
     list) or ``broken`` (bad JSON, or a language list without a winner).
@@ -68,7 +74,7 @@ def slim_records(records: DataFrame, settings: Settings) -> DataFrame:
             )
         return let(annotated_languages(fields), by_languages)
 
-    return records.where(~F.col("torn") & ~F.col("coded")).select(
+    return records.select(
         "warc_path", *ORDER, "record_id", "concurrent_to", "rec_headers",
         F.coalesce(is_html_response(settings.content_match), F.lit(False)).alias("is_page"),
         F.coalesce(is_metadata(), F.lit(False)).alias("is_note"),

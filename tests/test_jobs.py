@@ -323,3 +323,19 @@ def test_ingest_replays_a_stopped_batch(spark, profile, tmp_path, step):
     assert notes_of(spark.read.parquet(f"{out}/documents")) == ["<n1>", "<n3>", "<nB>", "<nD>", "<nP>"]
     ledger = L.read_ledger(spark, f"{out}/ledger")
     assert ledger.count() == 3 and ledger.select("batch_id").distinct().count() == 3
+
+
+def test_damaged_page_is_held_not_skipped(spark, profile, tmp_path):
+    """An annotation behind a page whose body cannot be read pairs with that page, not an earlier one."""
+    folder = tmp_path / "damaged"
+    os.makedirs(folder)
+    write_gz(folder / "d.warc.gz",
+             record("response", "q1", french("q1"), uri="http://a.example/q1"),
+             record("response", "q2", b"not gzip at all", uri="http://a.example/q2", http=("Content-Encoding: gzip",)),
+             record("metadata", "m2", languages(("fr", 0.9)), refers="q2"),
+             record("response", "q3", french("q3"), uri="http://a.example/q3"),
+             record("metadata", "m3", languages(("fr", 0.9)), refers="q3"))
+    landed = land_archives(archive_pieces(spark, str(folder)), str(tmp_path / "landed"), base=str(folder))
+    assert notes_of(refine(landed, Settings(target="fr"), profile)) == ["<m3>"]
+    reasons = {r["record_id"]: r["reason"] for r in quarantined(landed).collect()}
+    assert reasons == {"<q2>": "coded body"}
