@@ -6,6 +6,8 @@ put together from the snippets below; they restate ``checks.views`` in SQL.
 
 from __future__ import annotations
 
+from pagesieve.functions import patterns as P
+
 # --- derived inputs -----------------------------------------------------------
 PAGES = r"""p AS (
   SELECT page_id, url, html, regexp_extract(html, '<html lang="(..)"', 1) AS lang,
@@ -72,17 +74,15 @@ def meta_pattern(names: str) -> str:
     return f"""<meta[^>]+(?:name|property)=["''](?:{names})["''][^>]+content=["''](.*?)["'']"""
 
 
-DESCRIPTION = meta_pattern(
-    "dc.description|dc:description|dcterms.abstract|dcterms.description|description|"
-    "sailthru.description|twitter:description")
-TITLE = meta_pattern(
-    "citation_title|dc.title|dcterms.title|fb_title|headline|parsely-title|sailthru.title|"
-    "shareaholic:title|rbtitle|title|twitter:title")
-CHARSET = (
-    r"""(?is)(?:<\?xml.*?encoding=["'']([\w-]+)["'']|<meta[^>]+charset=["'']([\w-]+)["'']"""
-    r"""|<meta[^>]+charset=([\w-]+)(?:\s|>)"""
-    r"""|<meta\s+http-equiv=["''](?:Content-Type|content-type)["''][^>]+content=["''].*?charset=([\w-]+)["''])"""
-)
+def quoted(pattern: str) -> str:
+    """A pattern inside a SQL string literal."""
+    return pattern.replace("'", "''")
+
+
+# the same names and pattern as the job's, from pagesieve/functions/patterns.py
+DESCRIPTION = meta_pattern("|".join(P.DESCRIPTION_NAMES))
+TITLE = meta_pattern("|".join(P.TITLE_NAMES))
+CHARSET = quoted(P.DECLARED_CHARSET)
 
 
 def longest(items: str) -> str:
