@@ -65,7 +65,7 @@ def test_twins(spark, sf_dir, name):
 
 def test_all_queries_are_registered():
     names = set(entry_point.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {n.split("_")[0] for n in names} and "pipeline" in names
 
 
 # --- 1
