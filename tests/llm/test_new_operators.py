@@ -68,6 +68,42 @@ def test_hard_negatives_brute_force(spark, blocks):
     assert sorted(tuple(r) for r in got.collect()) == brute_negatives(rows, m)
 
 
+def test_hard_negatives_rows_without_id_and_huge_components(spark, tmp_path):
+    """By the contract only labels and vectors shut a row out, and a component may be of any finite size."""
+    from pagesieve.llm.queries import op13_hard_negatives
+    rows = random_embeddings(220, 5)
+    rows = [(None if i % 11 == 3 else vid, vec, label, *more) for i, (vid, vec, label, *more) in enumerate(rows)]
+    r = random.Random(2)
+    for i, size in enumerate((1e9, 1e12, 3e38)):
+        vec = [round(r.uniform(-1, 1), 3) for _ in range(8)]
+        vec[i] = size
+        rows.append((301 + i, vec, i % 3, "x", "y", 1))
+    # a large part in one dimension must not swallow the bound on the others
+    rows += [(401 + i, [0.0, 1e13 if i % 2 else 0.0] + [0.9] * 6, 1, "x", "y", 1) for i in range(12)]
+    rows += [(450, [1.0, 0.0] + [0.9] * 6, 1, "x", "y", 1), (451, [0.9] * 8, 2, "x", "y", 1)]
+    path = str(tmp_path / "embeddings.parquet")
+    spark.createDataFrame(rows, EMB).write.parquet(path)
+    valid = []
+    stored = spark.read.parquet(path).collect()
+    for pos, (vid, vec, label, *_) in enumerate(stored):
+        if label is None or vec is None or any(x is None or not math.isfinite(x) for x in vec):
+            continue
+        label = (label + 1) % 10 if vid is not None and vid % 7 == 0 else label
+        valid.append((pos, vid, label, [math.floor(256 * x) for x in vec]))
+    want = []
+    for apos, aid, alabel, aq in valid:
+        if aid is None or aid % 50:
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(aq, q)), vid is None, vid or 0, label)
+                        for pos, vid, label, q in valid if pos != apos)
+        for s, no_id, pid, _ in [x for x in scored if x[3] == alabel][:5]:
+            found = [x for x in scored if x[3] != alabel and -50 * s <= -100 * x[0] <= -95 * s][:3]
+            want += [(aid, None if no_id else pid, n + 1, None if x[1] else x[2], -s, -x[0]) for n, x in enumerate(found)]
+    assert any(w[1] is None for w in want) and any(w[3] is None for w in want)
+    got = op13_hard_negatives(spark, str(tmp_path)).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
 def test_hard_negatives_empty(spark):
     assert hard_negatives.mine(spark, spark.createDataFrame([], EMB)).count() == 0
 
