@@ -18,14 +18,20 @@ archives are taken again by every run until they succeed. An archive without rec
 ``ok``. When a batch fails as a whole (a damaged archive stops Spark's job), each of its
 archives is tried alone, and only those that fail alone are ``failed``.
 
-``interrupt(step, batch)``, called after each write (``"documents"``, ``"ledger"``), lets a
-test stop the job between the two, as a lost driver would.
+Small batches are worked on together, as the fixed cost of a job's plans would otherwise be
+paid for every few archives: the first batch alone, then two, four and so on
+(:func:`waves`), as long as they hold ``archives_per_job`` archives at most. The batches
+of such a wave share one shard, named by the first of them, and one committed ledger
+folder; each archive's row keeps its own batch. A wave that fails is halved.
+
+``interrupt(step, batch)``, called for each batch after each write (``"documents"``,
+``"ledger"``), lets a test stop the job between the two, as a lost driver would.
 """
 
 from __future__ import annotations
 
 import datetime
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +42,7 @@ from ..sources.warc import archive_pieces, land_archives
 from .refine import Settings, failed_archives, refine
 
 ATTEMPTS = "warc_path string, name string, status string, run string, batch bigint, shard string, error string"
+ARCHIVES_PER_JOB = 1000
 
 
 def _fs(spark: SparkSession, path: str):
@@ -82,15 +89,16 @@ def committed_documents(spark: SparkSession, out: str, fmt: str = "parquet", sch
                      "left_semi").drop("_shard")
 
 
-def _entries(spark: SparkSession, paths: list[str], name: Column | None) -> DataFrame:
-    rows = spark.createDataFrame([(p,) for p in paths], "warc_path string")
+def _entries(spark: SparkSession, batches: list[list[str]], first: int, name: Column | None) -> DataFrame:
+    rows = spark.createDataFrame([(p, n) for n, paths in enumerate(batches, first) for p in paths],
+                                 "warc_path string, batch bigint")
     return rows.withColumn("name", name if name is not None else F.col("warc_path"))
 
 
 def run_manifest(spark: SparkSession, manifest: DataFrame, base: str, out: str, settings: Settings,
                  profile: DataFrame | None = None, archives_per_batch: int = 1000, fmt: str = "parquet",
                  archive_name: Column | None = None, run: str | None = None,
-                 interrupt: Callable[[str, int], None] | None = None) -> int:
+                 interrupt: Callable[[str, int], None] | None = None, archives_per_job: int = ARCHIVES_PER_JOB) -> int:
     """Process the pending archives of ``manifest`` (``line_no, warc_path``, paths below ``base``).
 
     Returns the number of batches run. ``archive_name`` derives the documents' ``warc_path``
@@ -100,42 +108,61 @@ def run_manifest(spark: SparkSession, manifest: DataFrame, base: str, out: str,
     run = run or datetime.datetime.now(datetime.timezone.utc).strftime("%Y%m%d%H%M%S%f")
     states = archive_states(read_attempts(spark, out)).select("warc_path", "status")
     todo = pending(manifest, states).groupBy("warc_path").agg(F.min("line_no").alias("line_no"))
-    # the driver takes one batch of paths at a time: it must name the files it reads
-    ordered = todo.orderBy("line_no", "warc_path").select("warc_path")
-    batch, done = 0, 0
-    while True:
-        paths = [r.warc_path for r in ordered.offset(done).limit(archives_per_batch).collect()]
+    listed = f"{out}/work/run={run}/todo"
+    todo.write.mode("overwrite").parquet(listed)
+    ordered, batch = spark.read.parquet(listed), 0
+    for count in waves(archives_per_batch, archives_per_job):
+        # the driver takes one wave of paths at a time: it must name the files it reads
+        rows = ordered.orderBy("line_no", "warc_path").limit(count * archives_per_batch).collect()
+        paths = [r.warc_path for r in rows]
         if not paths:
             return batch
-        _one_batch(spark, paths, base, out, settings, profile, fmt, archive_name, run, batch, interrupt)
-        done += len(paths)
-        batch += 1
+        parts = [paths[i:i + archives_per_batch] for i in range(0, len(paths), archives_per_batch)]
+        _one_wave(spark, parts, base, out, settings, profile, fmt, archive_name, run, batch, interrupt)
+        batch += len(parts)
+        line, path = rows[-1].line_no, rows[-1].warc_path
+        ordered = spark.read.parquet(listed).where(
+            (F.col("line_no") > line) | ((F.col("line_no") == line) & (F.col("warc_path") > path)))
+
 
+def waves(per_batch: int, per_job: int) -> Iterator[int]:
+    """Batches worked on together: 1, 2, 4, ... as far as ``per_job`` archives go, without end."""
+    count, most = 1, max(1, per_job // per_batch)
+    while True:
+        yield min(count, most)
+        count = min(2 * count, most)
 
-def _one_batch(spark, paths, base, out, settings, profile, fmt, archive_name, run, batch, interrupt):
-    shard = shard_id(run, batch)
+
+def _one_wave(spark, batches, base, out, settings, profile, fmt, archive_name, run, first, interrupt):
+    paths, shard = [p for b in batches for p in b], shard_id(run, first)
     try:
-        failed = _documents(spark, paths, base, out, settings, profile, fmt, archive_name, run, batch, shard)
+        failed = _documents(spark, paths, base, out, settings, profile, fmt, archive_name, run, first, shard)
         errors = {}
-    except Exception as error:                      # a damaged archive stops the whole batch
+    except Exception as error:                      # a damaged archive stops the whole wave
         if len(paths) == 1:
             failed, errors = set(), {paths[0]: type(error).__name__}
+        elif len(batches) > 1:
+            half = len(batches) // 2
+            for start, part in ((0, batches[:half]), (half, batches[half:])):
+                _one_wave(spark, part, base, out, settings, profile, fmt, archive_name, run, first + start, interrupt)
+            return
         else:
             for number, path in enumerate(paths):
-                _one_batch(spark, [path], base, out, settings, profile, fmt, archive_name,
-                           f"{run}-{batch:09d}", number, interrupt)
+                _one_wave(spark, [[path]], base, out, settings, profile, fmt, archive_name,
+                          f"{run}-{first:09d}", number, interrupt)
             return
-    if interrupt:
-        interrupt("documents", batch)
-    entries = _entries(spark, paths, archive_name)
+    numbers = range(first, first + len(batches))
+    for number in numbers if interrupt else ():
+        interrupt("documents", number)
+    entries = _entries(spark, batches, first, archive_name)
     status = F.when(F.col("warc_path").isin(list(errors)) | F.col("name").isin(list(failed)), "failed").otherwise("ok")
     error = F.element_at(F.create_map(*[F.lit(x) for kv in errors.items() for x in kv]), F.col("warc_path")) \
         if errors else F.lit(None).cast("string")
-    entries.select("warc_path", "name", status.alias("status"), F.lit(run).alias("run"), F.lit(batch).cast("bigint").alias(
-        "batch"), F.lit(None if errors else shard).cast("string").alias("shard"), error.alias("error")).write.mode(
-        "overwrite").parquet(f"{out}/ledger/run={run}/batch={batch}")
-    if interrupt:
-        interrupt("ledger", batch)
+    entries.select("warc_path", "name", status.alias("status"), F.lit(run).alias("run"), "batch",
+                   F.lit(None if errors else shard).cast("string").alias("shard"), error.alias("error")).coalesce(
+        1).write.mode("overwrite").parquet(f"{out}/ledger/run={run}/batch={first}")
+    for number in numbers if interrupt else ():
+        interrupt("ledger", number)
 
 
 def _documents(spark, paths, base, out, settings, profile, fmt, archive_name, run, batch, shard) -> set[str]:

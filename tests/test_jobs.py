@@ -339,3 +339,55 @@ def test_damaged_page_is_held_not_skipped(spark, profile, tmp_path):
     assert notes_of(refine(landed, Settings(target="fr"), profile)) == ["<m3>"]
     reasons = {r["record_id"]: r["reason"] for r in quarantined(landed).collect()}
     assert reasons == {"<q2>": "coded body"}
+
+
+def test_manifest_job_takes_small_batches_together(spark, tmp_path, monkeypatch):
+    """Seven batches of one archive are three jobs; one damaged archive costs halving, not a job a batch."""
+    from pagesieve.plans import manifest_job as J
+    calls = []
+
+    def documents(spark, paths, *args):
+        calls.append(len(paths))
+        if "p12" in paths:
+            raise ValueError("damaged")
+        return set()
+
+    monkeypatch.setattr(J, "_documents", documents)
+    for n, sizes in ((7, [1, 2, 4]), (15, [1, 2, 4, 8, 4, 4, 2, 2, 1, 1])):
+        calls.clear()
+        rows = [(i, f"p{i:02d}") for i in range(n)]
+        manifest = spark.createDataFrame(rows, "line_no long, warc_path string")
+        out = str(tmp_path / f"out{n}")
+        assert J.run_manifest(spark, manifest, "/none", out, Settings(), archives_per_batch=1, run="1") == n
+        assert calls[:4] == sizes[:4] and len(calls) <= len(sizes)
+        rows = J.read_attempts(spark, out).collect()
+        assert sorted(r.warc_path for r in rows) == [f"p{i:02d}" for i in range(n)]
+        assert [r.warc_path for r in rows if r.status != "ok"] == (["p12"] if n > 12 else [])
+        assert all(r.batch == int(r.warc_path[1:]) for r in rows)
+
+
+def test_ingest_takes_small_batches_together(spark, tmp_path, monkeypatch):
+    """Three batches of one archive are one job, each with its own folder; a replay replaces the folders."""
+    from pagesieve.streaming import ingest as I
+    folder, out, calls = write_all(tmp_path / "in"), str(tmp_path / "out"), []
+
+    def refined(landed, *args, **kwargs):
+        calls.append(1)
+        return landed.where("warc_path <> 'bad.warc.gz'").select("warc_path", "record_id")
+
+    monkeypatch.setattr(I, "refine", refined)
+
+    def stop(step, batch):
+        if step == "ledger" and batch == 2:
+            raise RuntimeError("stopped")
+
+    with pytest.raises(Exception):
+        ingest(spark, str(folder), out, Settings(), None, archives_per_batch=1, base=str(folder), interrupt=stop)
+    ingest(spark, str(folder), out, Settings(), None, archives_per_batch=1, base=str(folder))
+    assert len(calls) == 2
+    docs = spark.read.parquet(f"{out}/documents")
+    kept = {r.warc_path: r.batch_id for r in docs.select("warc_path", "batch_id").distinct().collect()}
+    ledger = {r.warc_path: r.batch_id for r in L.read_ledger(spark, f"{out}/ledger").collect()}
+    assert ledger == {"bad.warc.gz": 0, "ok.warc.gz": 1, "stale.warc.gz": 2}
+    assert kept == {k: v for k, v in ledger.items() if k != "bad.warc.gz"}
+    assert docs.count() == docs.distinct().count()
