@@ -33,3 +33,20 @@ def write_shards(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ov
         write_jsonl(df, path, mode, "gzip")
     else:
         raise ValueError("fmt must be 'parquet' or 'jsonl.gz'")
+
+
+def write_batches(df: DataFrame, path: str, numbers: range) -> None:
+    """Rows of several batches, one folder ``batch_id=<number>`` each; what these folders held is replaced."""
+    spark = df.sparkSession
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def folders():
+        found = (s.getPath() for s in fs.globStatus(root.suffix("/batch_id=*")) or [])
+        return [p for p in found if int(p.getName().split("=")[1]) in numbers]
+
+    for folder in folders():
+        fs.delete(folder, True)
+    df.repartition("batch_id").write.mode("append").option("compression", "zstd").partitionBy("batch_id").parquet(path)
+    if not folders():                       # no rows at all: the schema is kept
+        df.drop("batch_id").limit(0).write.option("compression", "zstd").parquet(f"{path}/batch_id={numbers[0]}")
