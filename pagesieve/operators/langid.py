@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
+from ..session import work_path
 from .skew import lookup_join
 
 SCALE = 1_000_000
@@ -36,6 +37,20 @@ def trigrams(text: Column) -> Column:
     return F.regexp_extract_all(normalized(text), F.lit("(?=(...))"), F.lit(1))
 
 
+def chunks(text: Column) -> Column:
+    """The normalized text word by word: the blanks before a word, the word, and two characters more.
+
+    A text's trigrams are exactly those of its chunks, each once: a chunk's trigrams start
+    at its blanks and its word's letters, and those reach two characters beyond the word.
+    """
+    return F.regexp_extract_all(normalized(text), F.lit("(?=( +[^ ]+.{0,2})) +[^ ]+"), F.lit(1))
+
+
+def chunk_trigrams(chunk: Column) -> Column:
+    """All overlapping trigrams of a chunk."""
+    return F.regexp_extract_all(chunk, F.lit("(?=(...))"), F.lit(1))
+
+
 def clean_label(label: Column) -> Column:
     """Language code of a model label."""
     return F.replace(label, F.lit(P.LABEL_PREFIX), F.lit(""))
@@ -45,14 +60,22 @@ def train_profile(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     """Labelled texts -> ``(lang, gram, weight, default_weight)``.
 
     ``weight`` is what a trigram adds over ``default_weight``, the share of a
-    trigram the profile does not list.
+    trigram the profile does not list. Words are counted first, so that the texts give
+    a row per word and only distinct words are taken apart.
     """
-    counts = (
+    words = (
         docs.where(F.col(lang_col).isNotNull())
-        .select(clean_label(F.col(lang_col)).alias("lang"), F.explode(trigrams(F.col(text_col))).alias("gram"))
-        .groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("c"))
+        .select(clean_label(F.col(lang_col)).alias("lang"), F.explode(chunks(F.col(text_col))).alias("chunk"))
+        .groupBy("lang", "chunk").agg(F.count(F.lit(1)).alias("n"))
+    )
+    counts = (
+        words.select("lang", F.explode(chunk_trigrams(F.col("chunk"))).alias("gram"), "n")
+        .groupBy("lang", "gram").agg(F.sum("n").alias("c"))
     )
-    # from the counts, so that the texts are gone through once
+    # stored, as three figures come from them: the texts are gone through once
+    path = work_path(docs.sparkSession, "gram-counts")
+    counts.write.parquet(path)
+    counts = docs.sparkSession.read.parquet(path)
     vocabulary = (
         counts.groupBy("gram").agg(F.sum("c").alias("all")).where(F.col("all") > 0)
         .agg(F.count(F.lit(1))).scalar()

@@ -216,3 +216,23 @@ def test_pending_keeps_duplicates_and_failures(spark):
     assert [(r["line_no"], r["warc_path"]) for r in todo] == [(1, "b"), (2, "c"), (4, "b")]
     assert progress.pending(manifest, ledger.select("warc_path")).count() == 1
     assert {r["status"]: r["archives"] for r in progress.run_summary(ledger).collect()} == {"ok": 1, "failed": 2}
+
+
+def test_chunks_have_exactly_the_trigrams_of_the_text(spark):
+    """Also with several blanks between words (letters beyond 16 bits), one-letter words and no words."""
+    import random
+    from collections import Counter
+    r = random.Random(8)
+    texts = ["".join(r.choice("aàéÇßb 日! 𐐀.\n") for _ in range(r.randrange(40))) for _ in range(300)]
+    df = spark.createDataFrame([(t,) for t in [*texts, "", "a", " ab ", "a! 𐐀b"]], "text string")
+    rows = df.select(langid.trigrams(F.col("text")).alias("whole"),
+                     F.flatten(F.transform(langid.chunks(F.col("text")), langid.chunk_trigrams)).alias("parts")).collect()
+    assert all(Counter(x.whole) == Counter(x.parts) for x in rows) and any(x.whole for x in rows)
+
+
+def test_training_goes_through_the_texts_once(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    spark.createDataFrame([("fr", "le roi et la reine"), ("en", "the king and the queen")], "lang string, text string").write.parquet(path)
+    model = langid.train_profile(spark.read.parquet(path), "text", "lang")
+    assert path not in model._jdf.queryExecution().executedPlan().toString()
+    assert model.where("lang = 'fr' AND gram = ' le'").count() == 1
