@@ -14,9 +14,8 @@ the predicted vector is ``sum_i C_i * R[w_-i]`` (diagonal position weights ``C_i
 class scores ``Q[w] . r + b[w]``. Training is noise-contrastive: every position is set
 against ``noise`` classes drawn from the unigram distribution, so no normalisation is
 needed while fitting. Tasks fit their part of the training texts from the same weights and
-the weights are averaged, weighted by positions, once an epoch (parameter averaging). The
-weights are fitted on whole training texts chosen by a hash of id and text, ``train_positions``
-positions expected at most; counts always cover all training texts.
+the weights are averaged, weighted by positions, once an epoch (parameter averaging).
+Weights and counts both come from all positions of all training texts.
 
 Scoring is exact: per batch of positions, one matrix product with all output vectors and a
 log-softmax give normalised class log-probabilities. A token of class ``other`` has
@@ -63,7 +62,6 @@ class Settings:
     epochs: int = 3
     rate: float = 0.05
     batch: int = 1024
-    train_positions: int = 2_000_000
     seed: int = 11
 
 
@@ -247,11 +245,9 @@ def train(spark: SparkSession, training: DataFrame, s: Settings = Settings(), te
                   (rng.standard_normal((k, s.dim)) * 0.1).astype(np.float32),
                   np.full((s.context, s.dim), 1.0 / s.context, np.float32), np.zeros(k, np.float32), n, v)
     model.b = np.log(model.unigram()).astype(np.float32)
-    share = min(1.0, s.train_positions / n) if n else 0.0
-    chosen = F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), F.lit(1_000_000)) < int(share * 1_000_000)
-    sample = training.where(chosen).select(F.col(f"`{text_col}`").alias("text"))
+    texts = training.select(F.col(f"`{text_col}`").alias("text"))
     for _ in range(s.epochs if n else 0):
-        sent = sample.mapInArrow(_fitter(model, s), "chunk long, weight double, values array<double>").groupBy("chunk").applyInPandas(
+        sent = texts.mapInArrow(_fitter(model, s), "chunk long, weight double, values array<double>").groupBy("chunk").applyInPandas(
             _summed, "chunk long, weight double, values array<double>").collect()   # bounded by the weights
         if not sent:
             break

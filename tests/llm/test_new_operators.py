@@ -292,3 +292,24 @@ def test_lm_probabilities_sum_to_one():
 def test_lm_empty_table(spark):
     empty = spark.createDataFrame([], LM_DOCS)
     assert lm_scoring.score(spark, empty, held_out("doc_id", 7, 2), lm_scoring.Settings(epochs=1)).count() == 0
+
+
+def test_training_takes_every_position_of_every_text(spark, monkeypatch):
+    """The weights are fitted on all training texts, also beyond two million positions."""
+    import pyarrow as pa
+    schema, chunk = lm_scoring._SENT, lm_scoring.CHUNK
+
+    def counting(model, s):
+        size = len(model.flat())
+
+        def fit(batches):
+            seen = sum(len(t.split()) + 1 for b in batches for t in b.column("text").to_pylist())
+            yield pa.RecordBatch.from_pylist(
+                [{"chunk": i // chunk, "weight": 1.0, "values": [float(seen)] * min(chunk, size - i)}
+                 for i in range(0, size, chunk)], schema=schema)
+        return fit
+
+    monkeypatch.setattr(lm_scoring, "_fitter", counting)
+    df = spark.range(50).coalesce(1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("ab "), 50_000).alias("text"))
+    model, _ = lm_scoring.train(spark, df, lm_scoring.Settings(dim=4, epochs=1))
+    assert model.n == 50 * 50_001 and model.b[0] == model.n
