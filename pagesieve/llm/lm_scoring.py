@@ -17,8 +17,8 @@ needed while fitting. Tasks fit their part of the training texts from the same w
 the weights are averaged, weighted by positions, once an epoch (parameter averaging).
 Weights and counts both come from all positions of all training texts.
 
-Scoring is exact: per batch of positions, one matrix product with all output vectors and a
-log-softmax give normalised class log-probabilities. A token of class ``other`` has
+Scoring is exact: class scores are normalised over all classes, by the sum of exponentials
+of each distinct context (:class:`Normalisers`). A token of class ``other`` has
 ``P(other | context) * (c + 1) / (N_other + V_other + 1)`` (add-one within the class; ``N_other``
 and ``V_other`` count training tokens outside the vocabulary). ``score`` is the log10 of the
 product over the text's tokens. ``base_score`` is the add-one unigram
@@ -50,6 +50,7 @@ from .textnative import words
 END = ""
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 CHUNK = 4096          # parameters per row when tasks send their weights; contexts per product
+ROWS = 256            # contexts whose normalisers are made together
 POSITIONS = 65536     # token positions scored together
 
 
@@ -122,33 +123,77 @@ def predicted(model: Model, ctx: np.ndarray) -> np.ndarray:
     return (model.R[ctx] * model.C[None]).sum(axis=1)
 
 
-def _add_rows(table: np.ndarray, rows: np.ndarray, change: np.ndarray) -> None:
-    """Add each row's mean change over the batch: a class seen often moves as far as one seen once."""
-    seen = np.bincount(rows, minlength=len(table))
-    hit = np.flatnonzero(seen)
-    if table.ndim == 1:
-        table[hit] += (np.bincount(rows, weights=change, minlength=len(table))[hit] / seen[hit]).astype(table.dtype)
-        return
-    columns = np.ascontiguousarray(change.T, dtype=np.float64)
-    for j, column in enumerate(columns):
-        table[hit, j] += (np.bincount(rows, weights=column, minlength=len(table))[hit] / seen[hit]).astype(table.dtype)
+class Scratch(dict):
+    """Arrays kept from batch to batch by name, so that a task does not ask for fresh memory all the time."""
+
+    def of(self, name: str, shape: tuple[int, ...], kind: type = np.float32) -> np.ndarray:
+        size = math.prod(shape)
+        if len(self.get(name, ())) < size:
+            self[name] = np.empty(size, kind)
+        return self[name][:size].reshape(shape)
+
+
+class Draw:
+    """Classes drawn by their shares: ``searchsorted`` of the sums, mostly read from a table of 65,536 steps."""
+
+    STEPS = 1 << 16
+
+    def __init__(self, shares: np.ndarray):
+        self.sums, self.last = np.cumsum(shares), len(shares) - 1
+        self.table = np.searchsorted(self.sums, np.arange(self.STEPS + 1) / self.STEPS)
+
+    def of(self, chances: np.ndarray) -> np.ndarray:
+        """The class of each number from 0 to below 1."""
+        flat = chances.ravel()
+        step = (flat * self.STEPS).astype(np.int64)
+        out = self.table[step]
+        several = np.flatnonzero(out != self.table[step + 1])
+        out[several] = np.searchsorted(self.sums, flat[several])
+        return np.minimum(out, self.last).reshape(chances.shape)
+
+
+def _by_class(classes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places in order of class, the distinct classes, where each begins and how often it is there."""
+    classes = classes.ravel().astype(np.uint16 if n <= 1 << 16 else np.int64)
+    order = np.argsort(classes, kind="stable")
+    found = classes[order]
+    first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
+    return order, found[first], first, np.diff(first, append=len(found)).astype(np.float32)
 
 
 def nce_step(model: Model, ctx: np.ndarray, target: np.ndarray, noise: np.ndarray, log_kpn: np.ndarray,
-             rate: float) -> None:
-    """One step of noise-contrastive estimation on a batch of positions, in place."""
-    rc = model.R[ctx]
-    r = (rc * model.C[None]).sum(axis=1)
-    ids = np.concatenate([target[:, None], noise], axis=1)
-    q = model.Q[ids]
+             rate: float, scratch: Scratch | None = None) -> None:
+    """One step of noise-contrastive estimation on a batch of positions, in place.
+
+    A class moves by its mean change over the batch: one seen often as far as one seen once.
+    """
+    scratch = Scratch() if scratch is None else scratch
+    (n, width), dim = ctx.shape, model.Q.shape[1]
+    ids = scratch.of("ids", (n, noise.shape[1] + 1), np.int64)
+    ids[:, 0], ids[:, 1:] = target, noise
+    k = ids.shape[1]
+    rc = np.take(model.R, ctx, axis=0, out=scratch.of("rc", (n, width, dim)), mode="clip")
+    r = (rc * model.C).sum(axis=1)
+    q = np.take(model.Q, ids, axis=0, out=scratch.of("q", (n, k, dim)), mode="clip")
     s = np.einsum("nd,nkd->nk", r, q) + model.b[ids]
     g = 1.0 / (1.0 + np.exp(-np.clip(s - log_kpn[ids], -30, 30)))
     g[:, 0] -= 1.0                                   # d loss / d score
     g = (g * rate).astype(np.float32)
     grad_r = np.einsum("nk,nkd->nd", g, q)
-    _add_rows(model.Q, ids.ravel(), -(g[:, :, None] * r[:, None, :]).reshape(-1, r.shape[1]))
-    _add_rows(model.b, ids.ravel(), -g.ravel())
-    _add_rows(model.R, ctx.ravel(), -(grad_r[:, None, :] * model.C[None]).reshape(-1, r.shape[1]))
+
+    def means(change: np.ndarray) -> np.ndarray:
+        total = np.add.reduceat(change, first, axis=1, out=scratch.of("total", (dim, len(first))))
+        return np.divide(total, seen, out=total).T
+
+    order, hit, first, seen = _by_class(ids, len(model.b))
+    weight = g.ravel()[order]
+    change = np.take(np.ascontiguousarray(r.T), order // k, axis=1, out=scratch.of("change", (dim, n * k)), mode="clip")
+    model.Q[hit] -= means(np.multiply(change, weight, out=change))
+    model.b[hit] -= np.add.reduceat(weight, first) / seen
+    order, hit, first, seen = _by_class(ctx, len(model.b))
+    change = np.multiply(grad_r.T[:, :, None], model.C.T[:, None], out=scratch.of("parts", (dim, n, width)))
+    model.R[hit] -= means(np.take(change.reshape(dim, -1), order, axis=1, out=scratch.of("change", (dim, n * width)),
+                                  mode="clip"))
     model.C -= (grad_r[:, None, :] * rc).mean(axis=0)
 
 
@@ -175,7 +220,7 @@ def _fitter(model: Model, s: Settings):
         other = len(local.tokens)
         index, start = _index(local), index_of_end(local)
         p = local.unigram()
-        cdf, log_kpn = np.cumsum(p), np.log(s.noise * p).astype(np.float32)
+        draw, log_kpn, scratch = Draw(p), np.log(s.noise * p).astype(np.float32), Scratch()
         rng = np.random.default_rng(s.seed * 7919 + (TaskContext.get().partitionId() if TaskContext.get() else 0))
         seen, ctx_parts, tgt_parts, held = 0, [], [], 0
 
@@ -184,8 +229,8 @@ def _fitter(model: Model, s: Settings):
             order = rng.permutation(len(tgt))
             for at in range(0, len(tgt), s.batch):
                 pick = order[at: at + s.batch]
-                noise = np.minimum(np.searchsorted(cdf, rng.random((len(pick), s.noise))), other)
-                nce_step(local, ctx[pick], tgt[pick], noise, log_kpn, s.rate)
+                noise = draw.of(rng.random((len(pick), s.noise)))
+                nce_step(local, ctx[pick], tgt[pick], noise, log_kpn, s.rate, scratch)
             ctx_parts.clear()
             tgt_parts.clear()
 
@@ -265,11 +310,41 @@ class Normalisers:
     """``log sum exp`` of all class scores per context, computed once per distinct context in a task.
 
     The normaliser depends on the context alone, and frequent contexts recur in every
-    batch; a bounded table keeps them from batch to batch.
+    batch; a bounded table keeps them from batch to batch. A class's score is a sum with
+    one term for each place of the context, so its exponential is a product: each place
+    has a table of exponentials by context class and scored class, and a context needs
+    one product of their rows. Terms are scaled by the largest of their row; should a
+    sum leave the range of numbers all the same, it is made from the scores themselves.
     """
 
     def __init__(self, model: Model, limit: int = 2_000_000):
         self.model, self.limit, self.known = model, limit, {}
+        self.bias, self.tables, self.tops = np.exp(model.b - model.b.max()), [], []
+        for weights in model.C:
+            terms = (model.R * weights) @ model.Q.T
+            self.tops.append(terms.max(axis=1))
+            terms -= self.tops[-1][:, None]
+            self.tables.append(np.exp(terms, out=terms))
+
+    def made(self, rows: np.ndarray) -> np.ndarray:
+        """Normalisers of ``rows``, one context each, in order; those that differ in the last class only go together."""
+        total = np.empty(len(rows), np.float32)
+        new = np.flatnonzero((rows[1:, :-1] != rows[:-1, :-1]).any(axis=1)) + 1
+        for low, high in zip([0, *new.tolist()], [*new.tolist(), len(rows)], strict=True):
+            left = self.bias
+            for table, c in zip(self.tables, rows[low, :-1].tolist()):
+                left = left * table[c]
+            for at in range(low, high, ROWS):
+                end = min(at + ROWS, high)
+                total[at:end] = self.tables[-1][rows[at:end, -1]] @ left
+        safe = total > 1e-25
+        out = np.log(np.where(safe, total, 1), dtype=np.float64) + float(self.model.b.max())
+        out += sum(top[rows[:, i]].astype(np.float64) for i, top in enumerate(self.tops))
+        if not safe.all():
+            logits = (predicted(self.model, rows[~safe]) @ self.model.Q.T + self.model.b).astype(np.float64)
+            top = logits.max(axis=1)
+            out[~safe] = top + np.log(np.exp(logits - top[:, None]).sum(axis=1))
+        return out
 
     def of(self, ctx: np.ndarray) -> np.ndarray:
         width = len(self.model.tokens) + 1
@@ -281,12 +356,7 @@ class Normalisers:
             self.known.clear()
         missing = np.array([k not in self.known for k in unique.tolist()], bool)
         if missing.any():
-            rows = ctx[first[missing]]
-            for at in range(0, len(rows), CHUNK):
-                logits = predicted(self.model, rows[at: at + CHUNK]) @ self.model.Q.T + self.model.b
-                top = logits.max(axis=1, keepdims=True)
-                lse = top[:, 0].astype(np.float64) + np.log(np.exp(logits - top).sum(axis=1, dtype=np.float64))
-                self.known.update(zip(unique[missing][at: at + CHUNK].tolist(), lse.tolist()))
+            self.known.update(zip(unique[missing].tolist(), self.made(ctx[first[missing]]).tolist()))
         return np.array([self.known[k] for k in unique.tolist()])[inverse.ravel()]
 
 

@@ -313,3 +313,61 @@ def test_training_takes_every_position_of_every_text(spark, monkeypatch):
     df = spark.range(50).coalesce(1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("ab "), 50_000).alias("text"))
     model, _ = lm_scoring.train(spark, df, lm_scoring.Settings(dim=4, epochs=1))
     assert model.n == 50 * 50_001 and model.b[0] == model.n
+
+
+def random_model(classes, dim, context, seed, scale=1.0):
+    r = np.random.default_rng(seed)
+    table = lambda *shape: (scale * r.standard_normal(shape)).astype(np.float32)
+    return lm_scoring.Model([str(i) for i in range(classes - 1)], r.integers(1, 99, classes - 1), table(classes, dim),
+                            table(classes, dim), table(context, dim), table(classes), 9999, 500)
+
+
+@pytest.mark.parametrize("context,scale", [(1, 1.0), (2, 1.0), (3, 1.0), (2, 6.0)])
+def test_lm_normalisers_do_not_score_all_classes_per_context(monkeypatch, context, scale):
+    """They come from tables of factors; scores of all classes are made for sums out of range alone."""
+    model = random_model(40, 5, context, 3, scale)
+    ctx = np.random.default_rng(4).integers(0, 40, (500, context))
+    logits = (model.R[ctx].astype(np.float64) * model.C).sum(axis=1) @ model.Q.T.astype(np.float64) + model.b
+    top = logits.max(axis=1)
+    right = top + np.log(np.exp(logits - top[:, None]).sum(axis=1))
+    if scale == 1.0:
+        monkeypatch.setattr(lm_scoring, "predicted", None)
+    got = lm_scoring.Normalisers(model).of(ctx)
+    assert np.allclose(got, right, rtol=1e-5, atol=1e-4)
+
+
+def test_lm_training_step_moves_each_class_by_its_mean_change():
+    model, rate, r = random_model(20, 6, 2, 5), 0.05, np.random.default_rng(6)
+    R, Q, C, b = (x.astype(np.float64) for x in (model.R, model.Q, model.C, model.b))
+    ctx, target, noise = r.integers(0, 20, (64, 2)), r.integers(0, 20, 64), r.integers(0, 15, (64, 7))
+    log_kpn = np.log(7 * model.unigram())
+    moved, seen = {x: np.zeros_like(t) for x, t in (("R", R), ("Q", Q), ("C", C), ("b", b))}, np.zeros((2, 20))
+    for c, t, others in zip(ctx, target, noise):
+        v, back = (R[c] * C).sum(axis=0), np.zeros(6)
+        for i, w in enumerate([t, *others]):
+            g = rate * (1 / (1 + math.exp(-(Q[w] @ v + b[w] - log_kpn[w]))) - (i == 0))
+            moved["Q"][w] -= g * v
+            moved["b"][w] -= g
+            back += g * Q[w]
+            seen[0, w] += 1
+        for i, w in enumerate(c):
+            moved["R"][w] -= back * C[i]
+            moved["C"][i] -= back * R[w] / 64
+            seen[1, w] += 1
+    often = np.maximum(seen, 1)
+    scratch = lm_scoring.Scratch()
+    lm_scoring.nce_step(random_model(20, 6, 2, 1), ctx.repeat(2, 0), target.repeat(2), noise.repeat(2, 0),
+                        log_kpn.astype(np.float32), rate, scratch)  # what is left of a larger batch does no harm
+    lm_scoring.nce_step(model, ctx, target, noise, log_kpn.astype(np.float32), rate, scratch)
+    assert np.allclose(model.Q, Q + moved["Q"] / often[0][:, None], atol=1e-5)
+    assert np.allclose(model.b, b + moved["b"] / often[0], atol=1e-5)
+    assert np.allclose(model.R, R + moved["R"] / often[1][:, None], atol=1e-5)
+    assert np.allclose(model.C, C + moved["C"], atol=1e-5)
+
+
+def test_lm_draw_is_a_search_in_the_sums():
+    shares = random_model(300, 2, 1, 7).unigram()
+    chances = np.random.default_rng(8).random((500, 10))
+    chances[0, :3] = 0.0, 1 - 2.0 ** -53, np.cumsum(shares)[5]
+    right = np.minimum(np.searchsorted(np.cumsum(shares), chances), 299)
+    assert (lm_scoring.Draw(shares).of(chances) == right).all()
