@@ -41,6 +41,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -323,9 +324,47 @@ def ties(parts: np.ndarray, sids: np.ndarray, views: np.ndarray) -> tuple[tuple,
             distinct_pairs(sids[met], views[met]))
 
 
+def roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the pairs ``(a, b)``, ascending, and the smallest one each is connected with."""
+    names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    forest = Forest(len(names))
+    for i, j in zip(at[:len(a)].tolist(), at[len(a):].tolist(), strict=True):
+        forest.join(i, j)
+    return names, names[[forest.find(i) for i in range(len(names))]]
+
+
+def renamed(values: np.ndarray, names: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """``values`` with those in ``names`` (ascending) replaced by their ``new`` ones."""
+    if not len(names):
+        return values
+    at = np.minimum(np.searchsorted(names, values), len(names) - 1)
+    return np.where(names[at] == values, new[at], values)
+
+
+def packed(keys: np.ndarray, owners: np.ndarray, views: np.ndarray, tops: np.ndarray) -> bytes:
+    """Parts with their sets and views, 17 bytes each, and ``tops`` of the sets where it is another one."""
+    other = np.flatnonzero(tops != owners)
+    return b"".join(x.tobytes() for x in (
+        np.array([len(keys)]), keys, owners, views, tops[other], other.astype(np.uint32)))
+
+
+def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    m = (len(data) - 8 - 17 * n) // 12
+    keys, owners = np.frombuffer(data, np.uint64, n, 8), np.frombuffer(data, np.int64, n, 8 + 8 * n)
+    tops = owners.copy()
+    tops[np.frombuffer(data, np.uint32, m, 8 + 17 * n + 8 * m)] = np.frombuffer(data, np.int64, m, 8 + 17 * n)
+    return keys, owners, np.frombuffer(data, np.uint8, n, 8 + 16 * n), tops
+
+
 def candidate_edges(docs: DataFrame, text_col: str, width: int, percent: int,
                     common: bytes) -> tuple[DataFrame, DataFrame]:
-    """``a, b``: every set tied to the smallest one that has an equal part; ``sid``: sets that may have links.
+    """``a, b``: edges that connect the sets that have an equal part; ``sid``: sets that may have links.
+
+    Sets tied within a task are connected there, each with the smallest it is connected
+    with, and stand for one another between tasks, where again only edges that connect
+    are kept: a group has no more edges than sets in a task or bucket, however many
+    parts its sets have in common. Parts go from task to task alone and are not stored.
 
     Equal parts of a set are counted where they are tied. One tied within a task and
     again between tasks counts twice, which keeps a set too many, never drops one.
@@ -347,19 +386,22 @@ def candidate_edges(docs: DataFrame, text_col: str, width: int, percent: int,
 
         def flush() -> Iterator[pa.RecordBatch]:
             needs = {(sid, view): need for sid, (_, _, own) in held for view, need in own.items()}
-            yield filled(a=[sid for sid, _ in needs], view=[view for _, view in needs], hits=[0] * len(needs),
-                         need=list(needs.values()))
+            yield filled(bucket=[sid % buckets for sid, _ in needs], a=[sid for sid, _ in needs],
+                         view=[view for _, view in needs], hits=[0] * len(needs), need=list(needs.values()))
             (keys, owners, views), (a, b), (sids, seen, n) = ties(
                 np.concatenate([p[0] for _, p in held]),
                 np.repeat(np.array([s for s, _ in held], np.int64), [len(p[0]) for _, p in held]),
                 np.concatenate([p[1] for _, p in held]))
-            yield filled(a=a, b=b)
-            yield filled(a=sids, view=seen, hits=n)
+            names, tops = roots(a, b)
+            below = names != tops
+            yield filled(bucket=names[below] % buckets, a=names[below], b=tops[below])
+            yield filled(bucket=sids % buckets, a=sids, view=seen, hits=n)
             bucket = (keys >> np.uint64(32)) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
             used = np.flatnonzero(np.diff(cuts))
-            blobs = [keys[o].tobytes() + owners[o].tobytes() + views[o].tobytes()
+            top = renamed(owners, names, tops)
+            blobs = [packed(keys[o], owners[o], views[o], top[o])
                      for o in (order[cuts[k]:cuts[k + 1]] for k in used)]
             yield filled(bucket=used, data=blobs)
 
@@ -376,25 +418,26 @@ def candidate_edges(docs: DataFrame, text_col: str, width: int, percent: int,
             yield from flush()
 
     def reduced(table: pa.Table) -> pa.Table:
-        keys, owners, views = [], [], []
-        for data in table.column("data").to_pylist():
-            n = len(data) // 17  # 8 bytes of the part, 8 of the set, 1 of the view
-            keys.append(np.frombuffer(data, np.uint64, n))
-            owners.append(np.frombuffer(data, np.int64, n, 8 * n))
-            views.append(np.frombuffer(data, np.uint8, n, 16 * n))
-        _, (a, b), (sids, seen, n) = ties(np.concatenate(keys), np.concatenate(owners), np.concatenate(views))
-        return pa.Table.from_batches([filled(a=a, b=b), filled(a=sids, view=seen, hits=n)]).select(
-            ["a", "b", "view", "hits"])
+        parts = table.column("data").is_valid()
+        out = [table.filter(pc.invert(parts)).select(kept)]  # what is settled within tasks
+        blobs = [unpacked(data) for data in table.column("data").filter(parts).to_pylist()]
+        if blobs:
+            keys, owners, views, tops = (np.concatenate(x) for x in zip(*blobs, strict=True))
+            _, (a, b), (sids, seen, n) = ties(keys, owners, views)
+            owners, first = np.unique(owners, return_index=True)
+            names, low = roots(renamed(a, owners, tops[first]), renamed(b, owners, tops[first]))
+            below = names != low
+            out += [pa.Table.from_batches([filled(**x)]).select(kept) for x in (
+                {"a": names[below], "b": low[below]}, {"a": sids, "view": seen, "hits": n})]
+        return pa.concat_tables(out)
 
     spark, path = docs.sparkSession, work_path(docs.sparkSession, "parts")
+    kept = ["a", "b", "view", "hits", "need"]
     docs.where(F.col(text_col).isNotNull()).select(text_col).mapInArrow(
         mapped, "bucket bigint, data binary, a bigint, b bigint, view bigint, hits bigint, need bigint",
-    ).write.parquet(f"{path}/made")
-    made = spark.read.parquet(f"{path}/made")
-    made.where("bucket is not null").select("bucket", "data").groupBy("bucket").applyInArrow(
-        reduced, "a bigint, b bigint, view bigint, hits bigint").write.parquet(f"{path}/met")
-    rows = made.where("bucket is null").drop("bucket", "data").unionByName(
-        spark.read.parquet(f"{path}/met"), allowMissingColumns=True)
+    ).groupBy("bucket").applyInArrow(
+        reduced, "a bigint, b bigint, view bigint, hits bigint, need bigint").write.parquet(path)
+    rows = spark.read.parquet(path)
     able = rows.where("view is not null").groupBy("a", "view").agg(
         F.sum("hits").alias("hits"), F.max("need").alias("need")).where("hits >= need")
     return rows.where("b is not null").select("a", "b"), able.select(F.col("a").alias("sid")).distinct()

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pagesieve.llm import hard_negatives, lm_scoring, spelling_variants
+from pagesieve.llm import hard_negatives, jaccard_trie, lm_scoring, spelling_variants
 from pagesieve.llm.langid_hd import held_out
 
 # ------------------------------------------------------------------ op13, hard negatives
@@ -371,3 +371,39 @@ def test_lm_draw_is_a_search_in_the_sums():
     chances[0, :3] = 0.0, 1 - 2.0 ** -53, np.cumsum(shares)[5]
     right = np.minimum(np.searchsorted(np.cumsum(shares), chances), 299)
     assert (lm_scoring.Draw(shares).of(chances) == right).all()
+
+
+# ------------------------------------------------------------------ near-duplicates: edges between candidates
+
+
+def test_candidates_of_a_large_group_have_few_edges(spark, tmp_path, monkeypatch):
+    """A group of near copies in many tasks is connected by few edges, and its parts are not stored."""
+    r = random.Random(5)
+    base = [f"w{i}" for i in range(400)]
+    rows = []
+    for k in range(400):
+        words = list(base)
+        for i in r.sample(range(400), 4):
+            words[i] = f"x{k}y{i}"
+        rows.append((k, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(20).cache()
+    monkeypatch.setattr(jaccard_trie, "work_path", lambda _, name: f"{tmp_path}/{name}")
+    edges, able = jaccard_trie.candidate_edges(docs, "text", 5, 80, bytes(jaccard_trie.COMMON_SLOTS // 8))
+    edges = edges.where("a <> b").distinct()
+    assert edges.count() < 4 * 400
+    assert able.count() == 400
+    up = jaccard_trie.roots(*(np.array(c) for c in zip(*edges.collect())))[1]
+    assert len(up) == 400 and len(set(up.tolist())) == 1
+    stored = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
+    assert stored < sum(len(t) for _, t in rows) / 4
+
+
+def test_parts_of_sets_in_bytes():
+    keys, owners = np.arange(5, dtype=np.uint64), np.array([-7, 3, 3, 9, -1])
+    views, tops = np.array([0, 1, 2, 3, 0], np.uint8), np.array([-7, -9, -9, 9, -4])
+    for n in (5, 1, 0):
+        got = jaccard_trie.unpacked(jaccard_trie.packed(keys[:n], owners[:n], views[:n], tops[:n]))
+        assert [x.tolist() for x in got] == [x[:n].tolist() for x in (keys, owners, views, tops)]
+    assert jaccard_trie.renamed(owners, np.array([-7, 3]), np.array([1, 2])).tolist() == [1, 2, 2, 9, -1]
+    assert [x.tolist() for x in jaccard_trie.roots(np.array([5, 9, 4]), np.array([2, 5, 3]))] == [
+        [2, 3, 4, 5, 9], [2, 3, 3, 2, 2]]
