@@ -12,10 +12,12 @@ context is the ``context`` tokens before it (the end token stands in before a te
 start). Each class has an input vector ``R`` and an output vector ``Q`` and a bias ``b``;
 the predicted vector is ``sum_i C_i * R[w_-i]`` (diagonal position weights ``C_i``), a
 class scores ``Q[w] . r + b[w]``. Training is noise-contrastive: every position is set
-against ``noise`` classes drawn from the unigram distribution, so no normalisation is
-needed while fitting. Tasks fit their part of the training texts from the same weights and
-the weights are averaged, weighted by positions, once an epoch (parameter averaging).
-Weights and counts both come from all positions of all training texts.
+against classes drawn from the unigram distribution that together count as ``noise`` draws, so no
+normalisation is needed while fitting. Equal positions of ``HELD`` or so are worked on together,
+weighted by their number, at most ``MOST`` at a time; ``TOGETHER`` of these share ``DRAWN`` draws.
+Tasks fit their part of the training texts from the same weights and the weights are averaged,
+weighted by positions, once an epoch (parameter averaging). Weights and counts both come from all
+positions of all training texts.
 
 Scoring is exact: class scores are normalised over all classes, by the sum of exponentials
 of each distinct context (:class:`Normalisers`). A token of class ``other`` has
@@ -32,14 +34,13 @@ than id and text are carried by nobody and may clash freely.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,13 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 CHUNK = 4096          # parameters per row when tasks send their weights; contexts per product
 ROWS = 256            # contexts whose normalisers are made together
 POSITIONS = 65536     # token positions scored together
+TEXT_BYTES = 1 << 22  # of texts cut into tokens together
+HELD = 1 << 20        # training positions among which equal ones are looked for
+MOST = 8              # equal positions worked on as one
+TOGETHER = 32         # distinct positions that share their draws of noise
+DRAWN = 64            # draws they share
+RESOLVED = 1 << 19    # a token with at least one part in so many of all tokens has its count in every scoring task
+TABLE = 1 << 23       # contexts, at most, whose normalisers are kept in a table with a place for each
 
 
 @dataclass(frozen=True)
@@ -105,18 +113,55 @@ class Model:
         return mass / mass.sum()
 
 
-def token_ids(text: str | None, index: dict[bytes, int], other: int) -> tuple[np.ndarray, list[bytes]]:
-    """Class of every token (end included) and the tokens outside the vocabulary."""
-    found = (text or "").encode("utf-8").lower().split()
-    found.append(END.encode())
-    ids = np.array(list(map(index.get, found, repeat(other))), np.int64)
-    return ids, [found[j] for j in np.flatnonzero(ids == other).tolist()]
+def sliced(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``TEXT_BYTES`` of text; a larger text is a slice of its own."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = np.cumsum(sizes) // TEXT_BYTES
+    edges = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), batch.num_rows]
+    for low, high in zip(edges, edges[1:]):
+        if high > low:
+            yield batch.slice(low, high - low)
 
 
-def contexts(ids: np.ndarray, width: int, start: int) -> np.ndarray:
-    """``width`` previous classes of every position; ``start`` before the text."""
-    padded = np.concatenate([np.full(width, start, np.int64), ids])
-    return np.stack([padded[width - i - 1: width - i - 1 + len(ids)] for i in range(width)], axis=1)
+def tokens_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All tokens of the texts one after another, each text's end included, and every text's number of them."""
+    # cut at its blanks, a text with one blank more at its end has the empty string behind its words
+    ended = pc.binary_join_element_wise(pc.ascii_lower(pc.fill_null(texts, "")), " ", "")
+    found = pc.ascii_split_whitespace(pc.ascii_ltrim_whitespace(ended))
+    return found.flatten(), found.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def places_in(tokens: pa.Array, listed: pa.Array) -> np.ndarray:
+    """Place of every token in the list, -1 if it is not there."""
+    return pc.fill_null(pc.index_in(tokens, listed.cast(tokens.type)), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def contexts(ids: np.ndarray, lengths: np.ndarray, width: int, start: int) -> np.ndarray:
+    """``width`` previous classes of every position of the texts; ``start`` before each text."""
+    padded = np.full(len(ids) + width * len(lengths), start, np.int64)
+    at = np.arange(len(ids)) + width * np.repeat(np.arange(1, len(lengths) + 1), lengths)
+    padded[at] = ids
+    return np.stack([padded[at - 1 - i] for i in range(width)], axis=1)
+
+
+def context_keys(ctx: np.ndarray, classes: int) -> np.ndarray:
+    """One number for each context."""
+    keys = np.zeros(len(ctx), np.int64)
+    for i in range(ctx.shape[1]):
+        keys = keys * classes + ctx[:, i]
+    return keys
+
+
+def distinct_positions(keys: np.ndarray, classes: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Context, target and number of each distinct position, from keys of context and target."""
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    seen = np.diff(first, append=len(keys)).astype(np.float32)
+    left, target = np.divmod(keys[first], classes)
+    ctx = np.empty((len(first), width), np.int64)
+    for i in reversed(range(width)):
+        left, ctx[:, i] = np.divmod(left, classes)
+    return ctx, target, seen
 
 
 def predicted(model: Model, ctx: np.ndarray) -> np.ndarray:
@@ -152,49 +197,69 @@ class Draw:
         return np.minimum(out, self.last).reshape(chances.shape)
 
 
-def _by_class(classes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Places in order of class, the distinct classes, where each begins and how often it is there."""
-    classes = classes.ravel().astype(np.uint16 if n <= 1 << 16 else np.int64)
-    order = np.argsort(classes, kind="stable")
+def _sums(classes: np.ndarray, changes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct classes, of ``n``, and the sum of each one's rows of ``changes``."""
+    order = np.argsort(classes.astype(np.uint16 if n <= 1 << 16 else np.int64), kind="stable")
     found = classes[order]
     first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
-    return order, found[first], first, np.diff(first, append=len(found)).astype(np.float32)
+    return found[first], np.add.reduceat(np.take(changes, order, axis=0), first, axis=0)
 
 
 def nce_step(model: Model, ctx: np.ndarray, target: np.ndarray, noise: np.ndarray, log_kpn: np.ndarray,
-             rate: float, scratch: Scratch | None = None) -> None:
+             rate: float, scratch: Scratch | None = None, seen: np.ndarray | None = None, share: float = 1.0,
+             often: tuple[np.ndarray | None, np.ndarray | None] = (None, None)) -> None:
     """One step of noise-contrastive estimation on a batch of positions, in place.
 
-    A class moves by its mean change over the batch: one seen often as far as one seen once.
+    A position stands for ``seen`` equal ones. As many positions one after another as there are for
+    each row of ``noise`` are set against the classes in it, each of which counts as ``share`` draws.
+    A class moves by its mean change over the batch: one seen often as far as one seen once. If
+    ``often`` is given, how often it is expected there as target or noise and in contexts counts instead.
     """
     scratch = Scratch() if scratch is None else scratch
-    (n, width), dim = ctx.shape, model.Q.shape[1]
-    ids = scratch.of("ids", (n, noise.shape[1] + 1), np.int64)
-    ids[:, 0], ids[:, 1:] = target, noise
-    k = ids.shape[1]
+    (n, width), dim, (groups, drawn) = ctx.shape, model.Q.shape[1], noise.shape
+    seen = np.ones(n, np.float32) if seen is None else seen
     rc = np.take(model.R, ctx, axis=0, out=scratch.of("rc", (n, width, dim)), mode="clip")
-    r = (rc * model.C).sum(axis=1)
-    q = np.take(model.Q, ids, axis=0, out=scratch.of("q", (n, k, dim)), mode="clip")
-    s = np.einsum("nd,nkd->nk", r, q) + model.b[ids]
-    g = 1.0 / (1.0 + np.exp(-np.clip(s - log_kpn[ids], -30, 30)))
-    g[:, 0] -= 1.0                                   # d loss / d score
-    g = (g * rate).astype(np.float32)
-    grad_r = np.einsum("nk,nkd->nd", g, q)
-
-    def means(change: np.ndarray) -> np.ndarray:
-        total = np.add.reduceat(change, first, axis=1, out=scratch.of("total", (dim, len(first))))
-        return np.divide(total, seen, out=total).T
-
-    order, hit, first, seen = _by_class(ids, len(model.b))
-    weight = g.ravel()[order]
-    change = np.take(np.ascontiguousarray(r.T), order // k, axis=1, out=scratch.of("change", (dim, n * k)), mode="clip")
-    model.Q[hit] -= means(np.multiply(change, weight, out=change))
-    model.b[hit] -= np.add.reduceat(weight, first) / seen
-    order, hit, first, seen = _by_class(ctx, len(model.b))
-    change = np.multiply(grad_r.T[:, :, None], model.C.T[:, None], out=scratch.of("parts", (dim, n, width)))
-    model.R[hit] -= means(np.take(change.reshape(dim, -1), order, axis=1, out=scratch.of("change", (dim, n * width)),
-                                  mode="clip"))
-    model.C -= (grad_r[:, None, :] * rc).mean(axis=0)
+    r = np.einsum("nwd,wd->nd", rc, model.C)
+    grouped = r.reshape(groups, n // groups, dim)
+
+    def slope(score: np.ndarray, offset: np.ndarray) -> np.ndarray:
+        """Model's share of the odds against noise."""
+        score -= offset
+        np.clip(score, -30, 30, out=score)
+        np.exp(np.negative(score, out=score), out=score)
+        score += 1.0
+        return np.divide(1.0, score, out=score)
+
+    offsets = (log_kpn - model.b).astype(np.float32)
+    q_target = np.take(model.Q, target, axis=0, out=scratch.of("qt", (n, dim)), mode="clip")
+    q_noise = model.Q[noise]
+    g_target = (slope(np.einsum("nd,nd->n", r, q_target), offsets[target]) - 1.0) * (rate * seen)   # d loss / d score
+    g_noise = slope(np.matmul(grouped, q_noise.transpose(0, 2, 1)), offsets[noise][:, None, :])
+    g_noise *= (rate * share * seen).reshape(groups, -1, 1)
+    grad_r = np.matmul(g_noise, q_noise).reshape(n, dim)
+    q_target *= g_target[:, None]
+    grad_r += q_target
+
+    def moved(classes: np.ndarray, changes: np.ndarray, often: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """The classes met and the mean change of each; the last column is the weight."""
+        hit, total = _sums(classes, changes, len(model.b))
+        return hit, total[:, :-1] / (total[:, -1] if often is None else often[hit])[:, None]
+
+    changes = scratch.of("changes", (n + groups * drawn, dim + 2))   # of the vector, of the bias, weight
+    np.multiply(r, g_target[:, None], out=changes[:n, :dim])
+    changes[:n, dim], changes[:n, dim + 1] = g_target, seen
+    changes[n:, :dim] = np.matmul(g_noise.transpose(0, 2, 1), grouped).reshape(-1, dim)
+    changes[n:, dim] = g_noise.sum(axis=1).ravel()
+    changes[n:, dim + 1] = np.repeat(share * seen.reshape(groups, -1).sum(axis=1), drawn)
+    hit, change = moved(np.concatenate([target, noise.ravel()]), changes, often[0])
+    back = scratch.of("back", (width, n, dim + 1))
+    np.multiply(grad_r, model.C[:, None], out=back[:, :, :dim])
+    back[:, :, dim] = seen
+    hit_r, change_r = moved(ctx.T.ravel(), back.reshape(-1, dim + 1), often[1])
+    model.Q[hit] -= change[:, :dim]
+    model.b[hit] -= change[:, dim]
+    model.R[hit_r] -= change_r
+    model.C -= np.einsum("nd,nwd->wd", grad_r, rc) / seen.sum()
 
 
 def log_probabilities(model: Model, ctx: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -209,43 +274,49 @@ def log_probabilities(model: Model, ctx: np.ndarray, target: np.ndarray) -> np.n
     return out
 
 
-def _index(model: Model) -> dict[bytes, int]:
-    return {t.encode("utf-8"): i for i, t in enumerate(model.tokens)}
+def fit_positions(model: Model, keys: np.ndarray, s: Settings, draw: Draw, log_kpn: np.ndarray,
+                  rng: np.random.Generator, scratch: Scratch) -> None:
+    """Steps over the positions of ``keys`` in random order, ``batch`` of them a step on average, in place."""
+    ctx, target, seen = distinct_positions(keys, len(model.b), s.context)
+    parts = np.ceil(seen / MOST).astype(np.int64)
+    order = rng.permutation(np.repeat(np.arange(len(seen)), parts))
+    seen /= parts
+    p = (model.unigram() * s.batch).astype(np.float32)
+    often = np.maximum(p * (1 + s.noise), 1.0), np.maximum(p * s.context, 1.0)
+    rows = max(1, round(s.batch * len(order) / (len(keys) * TOGETHER))) * TOGETHER
+    for at in range(0, len(order), rows):
+        pick = order[at: at + rows]
+        groups = -(-len(pick) // TOGETHER)
+        fill = groups * TOGETHER - len(pick)      # the last one again, without weight
+        pick = np.concatenate([pick, np.repeat(pick[-1:], fill)])
+        weight = seen[pick]
+        weight[len(pick) - fill:] = 0
+        nce_step(model, ctx[pick], target[pick], draw.of(rng.random((groups, DRAWN))), log_kpn, s.rate, scratch,
+                 weight, s.noise / DRAWN, often)
 
 
 def _fitter(model: Model, s: Settings):
     """Per task: train a copy of the weights on the task's texts; send them, weighted, in chunks."""
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         local = model.with_flat(model.flat())
-        other = len(local.tokens)
-        index, start = _index(local), index_of_end(local)
-        p = local.unigram()
+        other, start = len(local.tokens), index_of_end(local)
+        listed, p = pa.array(local.tokens, pa.string()), local.unigram()
         draw, log_kpn, scratch = Draw(p), np.log(s.noise * p).astype(np.float32), Scratch()
         rng = np.random.default_rng(s.seed * 7919 + (TaskContext.get().partitionId() if TaskContext.get() else 0))
-        seen, ctx_parts, tgt_parts, held = 0, [], [], 0
-
-        def step():
-            ctx, tgt = np.concatenate(ctx_parts), np.concatenate(tgt_parts)
-            order = rng.permutation(len(tgt))
-            for at in range(0, len(tgt), s.batch):
-                pick = order[at: at + s.batch]
-                noise = draw.of(rng.random((len(pick), s.noise)))
-                nce_step(local, ctx[pick], tgt[pick], noise, log_kpn, s.rate, scratch)
-            ctx_parts.clear()
-            tgt_parts.clear()
-
+        seen, held, parts = 0, 0, []
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                ids, _ = token_ids(text, index, other)
-                ctx_parts.append(contexts(ids, s.context, start))
-                tgt_parts.append(ids)
+            for rows in sliced(batch):
+                tokens, lengths = tokens_in(rows.column("text"))
+                ids = places_in(tokens, listed)
+                ids[ids < 0] = other
+                parts.append(context_keys(contexts(ids, lengths, s.context, start), other + 1) * (other + 1) + ids)
                 seen += len(ids)
                 held += len(ids)
-                if held >= 64 * s.batch:
-                    step()
-                    held = 0
-        if tgt_parts:
-            step()
+                if held >= HELD:
+                    fit_positions(local, np.concatenate(parts), s, draw, log_kpn, rng, scratch)
+                    held, parts = 0, []
+        if parts:
+            fit_positions(local, np.concatenate(parts), s, draw, log_kpn, rng, scratch)
         if seen:
             flat = local.flat().astype(np.float64) * seen
             rows = [(i // CHUNK, float(seen), flat[i: i + CHUNK].tolist()) for i in range(0, len(flat), CHUNK)]
@@ -286,6 +357,8 @@ def train(spark: SparkSession, training: DataFrame, s: Settings = Settings(), te
     tokens, c = [r.token for r in top], np.array([r.c for r in top], np.int64)
     rng = np.random.default_rng(s.seed)
     k = len(tokens) + 1
+    if k ** (s.context + 1) >= 1 << 63:
+        raise ValueError("vocab and context are too large for one number for each context and token")
     model = Model(tokens, c, (rng.standard_normal((k, s.dim)) * 0.1).astype(np.float32),
                   (rng.standard_normal((k, s.dim)) * 0.1).astype(np.float32),
                   np.full((s.context, s.dim), 1.0 / s.context, np.float32), np.zeros(k, np.float32), n, v)
@@ -318,7 +391,7 @@ class Normalisers:
     """
 
     def __init__(self, model: Model, limit: int = 2_000_000):
-        self.model, self.limit, self.known = model, limit, {}
+        self.model, self.limit, self.known, self.all = model, limit, {}, None
         self.bias, self.tables, self.tops = np.exp(model.b - model.b.max()), [], []
         for weights in model.C:
             terms = (model.R * weights) @ model.Q.T
@@ -348,9 +421,15 @@ class Normalisers:
 
     def of(self, ctx: np.ndarray) -> np.ndarray:
         width = len(self.model.tokens) + 1
-        keys = np.zeros(len(ctx), np.int64)
-        for i in range(ctx.shape[1]):
-            keys = keys * width + ctx[:, i]
+        keys = context_keys(ctx, width)
+        if width ** ctx.shape[1] <= TABLE:
+            if self.all is None:
+                self.all = np.full(width ** ctx.shape[1], np.nan)
+            new = np.flatnonzero(np.isnan(self.all[keys]))
+            if len(new):
+                unique, first = np.unique(keys[new], return_index=True)
+                self.all[unique] = self.made(ctx[new[first]])
+            return self.all[keys]
         unique, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
         if len(self.known) > self.limit:
             self.known.clear()
@@ -367,56 +446,60 @@ def target_log_probabilities(model: Model, ctx: np.ndarray, target: np.ndarray,
     return score.astype(np.float64) - norm.of(ctx)
 
 
-def _scorer(model: Model, s: Settings, carried: list[str]):
+def _scorer(model: Model, s: Settings, carried: list[str], frequent: list[tuple[str, int]] = ()):
+    """Scores of texts; the counts of ``frequent`` tokens outside the vocabulary are looked up here, the rest is listed."""
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        other, index, start = len(model.tokens), _index(model), index_of_end(model)
-        unigram = np.log10((np.append(model.counts, 0) + 1.0) / (model.n + model.v + 1))
+        other, start = len(model.tokens), index_of_end(model)
+        listed = pa.array([*model.tokens, *(t for t, _ in frequent)], pa.string())
+        # the last place is that of tokens not listed, which get their part by the join
+        counts = np.array([*model.counts.tolist(), *(c for _, c in frequent), 0]) + 1.0
+        base = np.log10(counts / (model.n + model.v + 1))
+        inner = np.log10(counts / _rest(model))
+        base[-1] = inner[-1] = 0.0
+        inner[:other] = 0.0
         norm = Normalisers(model)
         context = TaskContext.get()
         next_key = [(context.partitionId() if context else 0) << 33]
 
-        def figures(rows: pa.RecordBatch, ids, ctx, lost) -> pa.RecordBatch:
-            lengths = np.array([len(i) for i in ids])
-            at = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-            target = np.concatenate(ids)
-            logp = target_log_probabilities(model, np.concatenate(ctx), target, norm) / math.log(10)
-            known = target != other
-            done = pa.RecordBatch.from_pydict({
-                "n_tokens": lengths.tolist(),
-                "n_vocab": np.add.reduceat(known.astype(np.int64), at).tolist(),
-                "base_vocab": np.add.reduceat(np.where(known, unigram[target], 0.0), at).tolist(),
-                "model_part": np.add.reduceat(logp, at).tolist(),
-                "oov": _counted(lost)}, schema=_SCORED_ARROW)
+        def figures(rows: pa.RecordBatch) -> pa.RecordBatch:
+            tokens, lengths = tokens_in(rows.column("text"))
+            at = np.cumsum(lengths) - lengths
+            places = places_in(tokens, listed)
+            target = np.where((places < 0) | (places > other), other, places)
+            ctx = contexts(target, lengths, s.context, start)
+            logp = inner[places]
+            for low in range(0, len(target), POSITIONS):    # memory stays bounded whatever a text holds
+                part = slice(low, low + POSITIONS)
+                logp[part] += target_log_probabilities(model, ctx[part], target[part], norm) / math.log(10)
+            done = pa.RecordBatch.from_arrays([
+                pa.array(lengths), pa.array(np.add.reduceat((places >= 0).astype(np.int64), at)),
+                pa.array(np.add.reduceat(base[places], at)), pa.array(np.add.reduceat(logp, at)),
+                _counted(tokens, places < 0, lengths)], schema=_SCORED_ARROW)
             keys = pa.array(np.arange(next_key[0], next_key[0] + rows.num_rows, dtype=np.int64))
             next_key[0] += rows.num_rows
             return pa.RecordBatch.from_arrays([keys] + [rows.column(c) for c in carried] + done.columns,
                                               names=["doc_key"] + carried + done.schema.names)
 
         for batch in batches:
-            ids, ctx, lost, first, held = [], [], [], 0, 0
-            for row, text in enumerate(batch.column("text").to_pylist()):
-                found, outside = token_ids(text, index, other)
-                ids.append(found)
-                ctx.append(contexts(found, s.context, start))
-                lost.append(Counter(outside))
-                held += len(found)
-                if held >= POSITIONS:               # memory stays bounded whatever the batch holds
-                    yield figures(batch.slice(first, row + 1 - first), ids, ctx, lost)
-                    ids, ctx, lost, first, held = [], [], [], row + 1, 0
-            if ids:
-                yield figures(batch.slice(first, batch.num_rows - first), ids, ctx, lost)
+            for rows in sliced(batch):
+                yield figures(rows)
     return score
 
 
-def _counted(lost: list[Counter]) -> pa.Array:
-    """Per text, its tokens outside the vocabulary with their counts, as one Arrow list array."""
-    offsets, tokens, counts = [0], [], []
-    for c in lost:
-        for token, m in sorted(c.items()):
-            tokens.append(token.decode("utf-8"))
-            counts.append(m)
-        offsets.append(len(tokens))
-    items = pa.StructArray.from_arrays([pa.array(tokens, pa.string()), pa.array(counts, pa.int64())], ["token", "m"])
+def _rest(model: Model) -> int:
+    """What the counts outside the vocabulary are divided by."""
+    return max(model.n_other, 0) + max(model.v_other, 0) + 1
+
+
+def _counted(tokens: pa.Array, lost: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Per text, its tokens marked ``lost`` with their counts, as one Arrow list array."""
+    coded = tokens.filter(pa.array(lost)).dictionary_encode()
+    names, codes = coded.dictionary.cast(pa.string()), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    texts = np.repeat(np.arange(len(lengths)), lengths)[lost]
+    found, m = np.unique(texts * max(len(names), 1) + codes, return_counts=True)
+    texts, codes = np.divmod(found, max(len(names), 1))
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(texts, minlength=len(lengths)))])
+    items = pa.StructArray.from_arrays([names.take(pa.array(codes)), pa.array(m.astype(np.int64))], ["token", "m"])
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), items)
 
 
@@ -439,16 +522,21 @@ def apply(spark: SparkSession, docs: DataFrame, model: Model, counts: DataFrame,
 
     Each row gets a key inside its scoring task (task's partition, row within it), and the
     scores are stored before anything else reads them, so the key holds for all that follows.
+    Every task has the counts of tokens with at least one part in ``RESOLVED`` of all tokens, so
+    at most that many; only others are joined with the table of counts.
     """
+    listed = set(model.tokens)
+    often = counts.where(F.col("c") >= model.n / RESOLVED).collect()   # at most RESOLVED rows
+    frequent = [(r.token, r.c) for r in often if r.token not in listed]
     scored_path = work_path(spark, "lm-scored")
     carried = ["doc_id", "held_out"]
     schema = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in carried)
-    docs.select(*carried, "text").mapInArrow(_scorer(model, s, carried), f"doc_key long, {schema}, {_SCORED}").write.parquet(
+    docs.select(*carried, "text").mapInArrow(_scorer(model, s, carried, frequent), f"doc_key long, {schema}, {_SCORED}").write.parquet(
         scored_path)
     scored = spark.read.parquet(scored_path)
 
     whole = math.log10(model.n + model.v + 1)
-    rest = math.log10(max(model.n_other, 0) + max(model.v_other, 0) + 1)
+    rest = math.log10(_rest(model))
     outside = scored.select("doc_key", F.explode("oov").alias("o")).select("doc_key", "o.token", "o.m").join(
         counts, "token", "left").select(
         "doc_key", F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id"),

@@ -373,6 +373,65 @@ def test_lm_draw_is_a_search_in_the_sums():
     assert (lm_scoring.Draw(shares).of(chances) == right).all()
 
 
+def test_lm_equal_positions_are_worked_on_together(monkeypatch):
+    """Many equal positions cost few rows; their weights add up to all positions."""
+    r, s = np.random.default_rng(9), lm_scoring.Settings(batch=64)
+    model, rows, weights = random_model(20, 4, 2, 1), [], []
+    ctx, target = r.integers(0, 3, (5000, 2)), r.integers(0, 3, 5000)
+    keys = lm_scoring.context_keys(ctx, 20) * 20 + target
+
+    def noted(model, ctx, target, noise, log_kpn, rate, scratch, seen, share, often):
+        rows.append(np.count_nonzero(seen))
+        weights.append(seen.sum())
+        assert noise.size * share == pytest.approx(s.noise * noise.shape[0])
+
+    monkeypatch.setattr(lm_scoring, "nce_step", noted)
+    p = model.unigram()
+    lm_scoring.fit_positions(model, keys, s, lm_scoring.Draw(p), np.log(s.noise * p), r, lm_scoring.Scratch())
+    assert sum(weights) == pytest.approx(5000)
+    assert sum(rows) <= 5000 / lm_scoring.MOST + 27
+    found, tokens, seen = lm_scoring.distinct_positions(keys, 20, 2)
+    assert {(*c, t): n for c, t, n in zip(found.tolist(), tokens.tolist(), seen.tolist())} == Counter(
+        (*c, t) for c, t in zip(ctx.tolist(), target.tolist()))
+
+
+def test_lm_step_on_weighted_positions_is_the_step_on_all_of_them():
+    r, often = np.random.default_rng(12), (np.full(20, 9.0, np.float32), np.full(20, 5.0, np.float32))
+    ctx, target, times = r.integers(0, 20, (16, 2)), r.integers(0, 20, 16), r.integers(1, 5, 16)
+    noise, log_kpn = r.integers(0, 20, (1, 7)), np.log(7 * random_model(20, 6, 2, 5).unigram()).astype(np.float32)
+    once, all_ = random_model(20, 6, 2, 5), random_model(20, 6, 2, 5)
+    lm_scoring.nce_step(once, ctx, target, noise, log_kpn, 0.05, None, times.astype(np.float32), 0.5, often)
+    lm_scoring.nce_step(all_, ctx.repeat(times, 0), target.repeat(times), noise, log_kpn, 0.05, None, None, 0.5, often)
+    assert np.allclose(once.flat(), all_.flat(), atol=1e-5)
+
+
+def test_lm_tokens_of_a_batch():
+    import pyarrow as pa
+    texts = ["", None, " a  B\t", "\x0bq\x1cR\x85s", "\u00c9 x\ny \r\n", " \t", "\u3000 z"]
+    tokens, lengths = lm_scoring.tokens_in(pa.array(texts))
+    right = [[*(t or "").encode().lower().split(), b""] for t in texts]
+    assert [t.encode() for t in tokens.to_pylist()] == [t for x in right for t in x]
+    assert lengths.tolist() == [len(x) for x in right]
+    ids = np.arange(len(tokens))
+    assert lm_scoring.contexts(ids, lengths, 2, -1)[2:6].tolist() == [[-1, -1], [2, -1], [3, 2], [-1, -1]]
+
+
+def test_lm_only_rare_tokens_are_joined(spark, monkeypatch):
+    """Counts of frequent tokens are known where texts are scored; only the others are listed for the join."""
+    rows = [(i, " ".join(f"t{k}" for k in range(40)) + f" rare{i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("held_out", F.lit(False))
+    s, seen = lm_scoring.Settings(vocab=5, dim=4, epochs=1), []
+    plain = lm_scoring._scorer
+    monkeypatch.setattr(lm_scoring, "RESOLVED", 1000)
+    monkeypatch.setattr(lm_scoring, "_scorer", lambda *x: seen.append({t for t, _ in x[3]}) or plain(*x))
+    model, counts = lm_scoring.train(spark, docs, s)
+    got = {r.doc_id: r for r in lm_scoring.apply(spark, docs, model, counts, s).collect()}
+    assert seen == [{f"t{k}" for k in range(40)} - set(model.tokens)]
+    n, v = model.n, model.v
+    assert all(abs(got[i].base_score - (41 * math.log10(61 / (n + v + 1)) + math.log10(2 / (n + v + 1)))) < 1e-6
+               and got[i].n_known == 42 for i in range(60))
+
+
 # ------------------------------------------------------------------ near-duplicates: edges between candidates
 
 
