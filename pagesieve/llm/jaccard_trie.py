@@ -42,10 +42,10 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.skew import lookup_join
+from ..operators.skew import wide_join
 from ..session import work_path
 from . import words as W
 from .components import components
@@ -447,25 +447,30 @@ def fetched_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str
     """Rows of ``wanted`` (stored, with ``key``) with the texts that have its ids."""
     texts = docs.where(F.col(text_col).isNotNull()).select(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NO_ID)).alias("key"), F.col(text_col).alias("text"))
-    return lookup_join(texts, wanted, ["key"], "inner", ["text"])
+    return wide_join(texts, wanted, ["key"])
 
 
-def verified_links(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int,
+def verified_links(docs: DataFrame, wanted: DataFrame, units: Column, id_col: str, text_col: str, width: int,
                    percent: int) -> DataFrame:
-    """``a, b``: links found in the units of ``wanted`` (stored: ``key, sid, units``)."""
-    rows = wanted.agg(F.sum(F.size("units"))).first()[0] or 0
+    """``a, b``: links found in the units of ``wanted`` (stored: ``key, sid`` and what ``units`` is made of).
+
+    A set of a large group is in as many units as the group has blocks, so they are
+    listed where the set is, and only the few numbers they follow from are sent there.
+    """
+    rows = wanted.agg(F.sum(F.size(units))).first()[0] or 0
     groups = rows // GROUP_SETS + 1
+    kept_columns = [c for c in wanted.columns if c != "key"]
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = Sets(width)
         for batch in batches:
-            made = [sets.of(t) for t in batch.column(2).to_pylist()]
-            right = [identity(s) == sid for s, sid in zip(made, batch.column(0).to_pylist(), strict=True)]
-            kept = batch.filter(pa.array(right))
+            made = [sets.of(t) for t in batch.column("text").to_pylist()]
+            right = [identity(s) == sid for s, sid in zip(made, batch.column("sid").to_pylist(), strict=True)]
+            kept = batch.filter(pa.array(right, pa.bool_()))
             yield pa.RecordBatch.from_arrays(
-                [kept.column(0), kept.column(1),
+                [*(kept.column(c) for c in kept_columns),
                  pa.array([s.tobytes() for s, ok in zip(made, right, strict=True) if ok], pa.binary())],
-                names=["sid", "units", "members"])
+                names=[*kept_columns, "members"])
 
     def links(table: pa.Table) -> pa.Table:
         by_unit: dict[int, dict[int, np.ndarray]] = {}
@@ -478,10 +483,10 @@ def verified_links(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: st
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()),
                          "b": pa.array([b for _, b in found], pa.int64())})
 
-    fetched = fetched_texts(docs, wanted, id_col, text_col).select("sid", "units", "text").mapInArrow(
-        members, "sid bigint, units array<bigint>, members binary")
+    fetched = fetched_texts(docs, wanted, id_col, text_col).select(*kept_columns, "text").mapInArrow(
+        members, wanted.select(*kept_columns).schema.add("members", "binary"))
     # copies with one id would come twice: a unit keeps a set once
-    return fetched.select("sid", "members", F.explode("units").alias("unit")).withColumn(
+    return fetched.select("sid", "members", F.explode(units).alias("unit")).withColumn(
         "task", F.pmod(F.xxhash64("unit"), F.lit(groups))).groupBy("task").applyInArrow(links, "a bigint, b bigint")
 
 
@@ -527,8 +532,8 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         (F.col("sid") == F.col("leader")) | (F.pmod(F.xxhash64("sid", F.lit("lead")), F.col("m")) < LEADERS))
     first = F.when(F.col("m").isNull(), F.array(unit())).when(
         leads, F.transform(all_blocks, lambda b: unit(b))).otherwise(F.array(unit(own)))
-    wanted = stored(placed.select("key", "sid", first.alias("units")), "units-1")
-    links = stored(verified_links(docs, wanted, id_col, text_col, width, percent), "links-1")
+    wanted = stored(placed.select("key", "sid", "component", "m", "leader"), "units-1")
+    links = stored(verified_links(docs, wanted, first, id_col, text_col, width, percent), "links-1")
     if not large.isEmpty():
         labels = components(links).select(F.col("id").alias("sid"), F.col("component").alias("label"))
         judged = stored(placed.where("m is not null").join(labels, "sid", "left").select(
@@ -541,14 +546,14 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         other_blocks = F.ceil(F.col("others") / block).cast("bigint")
         mine = F.pmod(F.xxhash64("sid", F.lit("other")), other_blocks)
         with_others = F.transform(F.sequence(F.lit(0).cast("bigint"), other_blocks - 1), lambda j: unit(j, own))
-        as_other = F.when(F.col("label") != F.col("main"), F.transform(all_blocks, lambda i: unit(mine, i))).otherwise(
+        as_other = F.when(F.col("other"), F.transform(all_blocks, lambda i: unit(mine, i))).otherwise(
             F.array().cast("array<bigint>"))
-        second = judged.join(main, "component").select(
-            "key", "sid", F.array_distinct(F.concat(with_others, as_other)).alias("units"))
-        second = stored(second, "units-2")
+        second = stored(judged.join(main, "component").select(
+            "key", "sid", "component", "m", "others", (F.col("label") != F.col("main")).alias("other")), "units-2")
         if not second.isEmpty():
+            units = F.array_distinct(F.concat(with_others, as_other))
             links = links.unionByName(stored(
-                verified_links(docs, second, id_col, text_col, width, percent), "links-2"))
+                verified_links(docs, second, units, id_col, text_col, width, percent), "links-2"))
     linked = components(links)
     smallest = linked.join(holders, linked["id"] == holders["sid"]).groupBy("component").agg(
         F.min(F.when(F.col("key") != _NO_ID, F.col("key"))).alias("component_id"))

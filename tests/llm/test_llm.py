@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry_point
@@ -235,6 +236,20 @@ def test_jaccard_groups(spark, width, percent, block):
     assert {tuple(g) for g in got} == brute_components(rows, width, percent)
 
 
+def test_jaccard_units_are_not_sent_as_lists(spark, monkeypatch):
+    """Sets of a large group that are linked with nothing are in as many units as it has blocks."""
+    base = [f"c{i}" for i in range(45)]
+    rows = [(k, " ".join(base + [f"d{k}x{i}" for i in range(15)])) for k in range(60)]
+    rows += [(100 + k, rows[k][1].replace("x14", "y")) for k in (3, 50)]
+    asked, fetched = [], jaccard_trie.fetched_texts
+    monkeypatch.setattr(jaccard_trie, "fetched_texts", lambda docs, wanted, *a: asked.append(
+        (wanted.count(), wanted.schema)) or fetched(docs, wanted, *a))
+    got = jaccard_trie.linked_components(spark.createDataFrame(rows, "doc_id long, text string"), block=4).collect()
+    assert {tuple(g) for g in got} == brute_components(rows, 5, 80)
+    assert [n for n, _ in asked[-2:]] == [62, 62]  # in blocks, then those not in the largest part with all
+    assert not any(isinstance(f.dataType, ArrayType) for _, schema in asked for f in schema)
+
+
 def test_jaccard_cases(odd, none):
     got = [tuple(r) for r in jaccard_trie.linked_components(odd).collect()]
     assert len(got) == len(ODD)

@@ -89,6 +89,30 @@ def test_salted_join_keeps_and_drops_like_a_plain_one(spark):
         assert sorted(skew.lookup_join(left, right, ["k"], how, ["id"], max_rows=2).collect()) == want
 
 
+def test_wide_join(spark):
+    left = spark.createDataFrame([(i % 7 if i % 3 else None, i) for i in range(60)], "k long, id int")
+    right = spark.createDataFrame(
+        [(k, "é" * 40, [(j, None) for j in range(30)]) for k in (1, 2, 2, 5, 9)] + [(4, None, None)],
+        "k long, s string, a array<struct<x: long, y: long>>")
+    assert sorted(r[0] for r in right.select(skew.row_bytes(right)).collect()) == [
+        8 + 8 + 8 + 8] + [8 + 8 + (8 + 80) + (8 + 8 + 30 * (8 + 8 + 8 + 8))] * 5
+    want = sorted(left.join(right, "k").collect())
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        # all of it is sent, its keys alone, nothing
+        for most, joins in ({}, (True, False)), ({"max_bytes": 1000}, (True, True)), ({"max_rows": 2}, (False, True)):
+            got = skew.wide_join(left, right, ["k"], **most)
+            assert sorted(got.collect()) == want
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert ("BroadcastHashJoin" in plan, "SortMergeJoin" in plan) == joins
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+
 @pytest.mark.parametrize("slots", [2, 50, 10_000])
 def test_drop_frequent(spark, slots):
     keys = ["hot"] * 500 + ["two"] * 2 + ["three"] * 3 + [None] * 40 + [f"k{i}" for i in range(200)]
