@@ -169,6 +169,24 @@ def test_passages_between_near_misses_at_both_ends(spark):
     assert {x for g in got for x in (g.doc_id, g.other_id)} == wanted
 
 
+def test_passages_nothing_wide_is_sent_and_turns_are_one_scan(spark, monkeypatch):
+    r = random.Random(3)
+    make = lambda n: [f"p{r.randrange(10**6)}" for _ in range(n)]
+    rows = []
+    for case in range(0, 1200, 100):
+        shared = make(60)
+        edited = [w if i not in (20, 45) else f"e{case}" for i, w in enumerate(shared)]
+        rows += [(case + k, " ".join(make(30) + (edited if k in (1, 99) else shared) + make(30))) for k in (1, 10, 20, 30, 99)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    usual = passages.repeated_passages(frame)
+    assert usual._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    looked, join = [], passages.wide_join
+    monkeypatch.setattr(passages, "wide_join", lambda left, right, on: looked.append(right.columns) or join(
+        left, right, on, max_bytes=0))
+    assert sorted(passages.repeated_passages(frame).collect()) == sorted(usual.collect())
+    assert looked[:3] == [["doc", "asked"], ["doc"], ["doc", "open"]] and len(looked) >= 6  # two turns or more
+
+
 # --- 3
 def test_mixing_cases(spark, odd, none):
     mix = mixing.Mix(budget_percent=100, max_epochs=1)
